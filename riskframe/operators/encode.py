@@ -62,8 +62,11 @@ class EncoderModel:
             out.append((f"scaler__{c}", f"(CAST({_q(c)} AS DOUBLE) - ({mean!r})) / ({scale!r})"))
         return out
 
-    def sql(self, keep: Sequence[str] = ()) -> str:
-        cols = [_q(k) for k in keep] + [f"{e} AS {_q(n)}" for n, e in self.expressions()]
+    def sql(self, keep: Sequence[str] | None = None) -> str:
+        """``keep`` None keeps every input column (``*``), so scoring tables without the
+        target (or with extra columns) pass through the same stage."""
+        head = ["*"] if keep is None else [_q(k) for k in keep]
+        cols = head + [f"{e} AS {_q(n)}" for n, e in self.expressions()]
         return "SELECT " + ", ".join(cols) + " FROM __THIS__"
 
     def check_columns(self, df: DataFrame) -> None:
@@ -77,12 +80,13 @@ class EncoderModel:
         self.check_columns(df)
         return df.selectExpr(*[_q(k) for k in keep], *[f"{e} AS {_q(n)}" for n, e in self.expressions()])
 
-    def to_stages(self, keep: Sequence[str] = (), vector_col: str = "features") -> list:
+    def to_stages(self, keep: Sequence[str] | None = None, vector_col: str = "features") -> list:
         """MLlib stages: SQLTransformer (encoding) + VectorAssembler (feature vector)."""
         return [SQLTransformer(statement=self.sql(keep)),
                 VectorAssembler(inputCols=self.feature_names(), outputCol=vector_col, handleInvalid="keep")]
 
-    def to_pipeline_model(self, df: DataFrame, keep: Sequence[str] = (), vector_col: str = "features") -> PipelineModel:
+    def to_pipeline_model(self, df: DataFrame, keep: Sequence[str] | None = None,
+                          vector_col: str = "features") -> PipelineModel:
         return Pipeline(stages=self.to_stages(keep, vector_col)).fit(df.limit(0))
 
     def to_json(self) -> str:

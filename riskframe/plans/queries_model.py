@@ -46,13 +46,13 @@ def m3_gbt(spark, sf_dir):
 @query("m5_grid_search_cv")
 def m5_grid_search_cv(spark, sf_dir):
     avg = _trained(spark, sf_dir).cv_metrics["logistic_regression"] or []
-    return spark.createDataFrame(list(enumerate(avg)), "param_map int, mean_f1_macro double")
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(avg)], "param_map int, mean_f1_macro double")
 
 
 @query("m6_random_search_cv")
 def m6_random_search_cv(spark, sf_dir):
     avg = _trained(spark, sf_dir).cv_metrics["random_forest"] or []
-    return spark.createDataFrame(list(enumerate(avg)), "param_map int, mean_f1_macro double")
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(avg)], "param_map int, mean_f1_macro double")
 
 
 @query("m9_f1_macro_eval")
