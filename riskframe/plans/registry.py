@@ -11,7 +11,7 @@ try:  # later modules register more queries
     from riskframe.plans import queries_profile  # noqa: F401
 except ImportError:  # pragma: no cover
     pass
-for _mod in ("queries_features", "queries_model", "queries_eval", "queries_explain"):
+for _mod in ("queries_features", "queries_model", "queries_eval", "queries_explain", "queries_sinks"):
     try:
         __import__(f"riskframe.plans.{_mod}")
     except ImportError as _e:  # pragma: no cover

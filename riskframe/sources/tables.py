@@ -38,11 +38,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(table_path(sf_dir, name))
 
 
+def _require(path: str) -> None:
+    """Fail early (like the original loader) when a local path is absent; remote URIs
+    are left to the reader."""
+    local = path[len("file:"):] if path.startswith("file:") else path
+    if ":" in local.split("/")[0] or "://" in local:
+        return
+    if not os.path.exists(local):
+        raise FileNotFoundError(f"{path} not found.")
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | StructType, label_optional: bool = False) -> DataFrame:
     """CSV with header and a declared schema.  ``label_optional`` reads in
     PERMISSIVE mode so a scoring file without the target column still loads."""
-    if not os.path.exists(path) and "://" not in path:
-        raise FileNotFoundError(f"{path} not found.")
+    _require(path)
     reader = spark.read.schema(schema).option("header", True)
     reader = reader.option("mode", "PERMISSIVE" if label_optional else "FAILFAST")
     if label_optional:
@@ -51,8 +60,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType, label_opt
 
 
 def read_parquet(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
-    if not os.path.exists(path) and "://" not in path:
-        raise FileNotFoundError(f"{path} not found.")
+    _require(path)
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
