@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from riskframe.operators import models
+from riskframe.operators import models, tree_shap
 from riskframe.plans import training
 from riskframe.plans.catalog import query
 from riskframe.plans.subjects import vec_subject
@@ -87,3 +87,10 @@ def s8_model_roundtrip(spark, sf_dir):
     a = models.predict_proba(pm, res.test).select("vec_id", F.col("score").alias("score_saved"))
     b = models.predict_proba(loaded, res.test).select("vec_id", F.col("score").alias("score_loaded"))
     return a.join(b, "vec_id").withColumn("same", F.col("score_saved") == F.col("score_loaded"))
+
+
+@query("x3_tree_shap")
+def x3_tree_shap(spark, sf_dir):
+    """Path-dependent Tree SHAP of the fitted forest for every test row (long)."""
+    res = _trained(spark, sf_dir)
+    return tree_shap.tree_shap(res.test, "vec_id", "features", res.fitted["random_forest"])
