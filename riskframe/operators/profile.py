@@ -150,37 +150,36 @@ def clip_report(df: DataFrame, fences: dict) -> DataFrame:
         F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(rows))])))
 
 
+def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation per (a, b) pair over rows where both are non-null, as
+    (pair, corr).  Pairs are unpivoted so one grouped aggregation with three
+    aggregates serves every pair (a single aggregate with one buffer set per pair
+    exceeds the codegen field limit and runs interpreted).  Zero variance -> null."""
+    structs = [F.struct(F.lit(k).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+               for k, (a, b) in enumerate(pairs)]
+    long = df.select(F.inline(F.array(*structs))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    return long.groupBy("pair").agg(
+        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long (col_a, col_b, corr).  One
-    aggregation; zero variance gives null instead of an ANSI divide-by-zero."""
+    """Pairwise-complete Pearson correlation, long (col_a, col_b, corr), one pass."""
     cols = list(cols)
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            xx, yy = F.when(both, x), F.when(both, y)
-            aggs.append(F.try_divide(F.covar_samp(xx, yy), F.stddev_samp(xx) * F.stddev_samp(yy)).alias(f"{i}|{cols.index(b)}"))
-    row = df.agg(*aggs)
-    structs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            key = f"{min(i, j)}|{max(i, j)}"
-            structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{key}`").alias("corr")))
-    return row.select(F.inline(F.array(*structs)))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    g = _pair_correlations(df, pairs)
+    # mirror the upper triangle: (pairs x 2) rows, a bounded table
+    names = df.sparkSession.createDataFrame(
+        [(k, a, b) for k, (a, b) in enumerate(pairs)] + [(k, b, a) for k, (a, b) in enumerate(pairs) if a != b],
+        "pair int, col_a string, col_b string")
+    return F.broadcast(names).join(g, "pair", "left").select("col_a", "col_b", "corr")
 
 
 def target_correlations(df: DataFrame, cols: Sequence[str], target: str, top_n: int = 10) -> DataFrame:
     """Correlations with the target, top n by absolute value."""
-    aggs = []
-    for c in cols:
-        x, y = F.col(c).cast("double"), F.col(target).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        xx, yy = F.when(both, x), F.when(both, y)
-        aggs.append(F.struct(F.lit(c).alias("feature"),
-                             F.try_divide(F.covar_samp(xx, yy), F.stddev_samp(xx) * F.stddev_samp(yy)).alias("corr")))
-    row = df.agg(*[a.alias(f"_s{i}") for i, a in enumerate(aggs)])
-    long = row.select(F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(aggs))])))
+    cols = list(cols)
+    g = _pair_correlations(df, [(c, target) for c in cols])
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "pair int, feature string")
+    long = F.broadcast(names).join(g, "pair").select("feature", "corr")
     return long.where(F.col("corr").isNotNull()).orderBy(F.desc(F.abs("corr")), "feature").limit(top_n)
 
 
