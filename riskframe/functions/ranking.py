@@ -119,9 +119,14 @@ def grouped_bucket(value: str, bounds: dict, group_col: str | None = None) -> Co
     return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
 
 
+# Cap on value buckets: the bucket id is a binary-search expression with one
+# comparison per bound, and it must stay small enough for whole-stage codegen.
+MAX_VALUE_BUCKETS = 256
+
+
 def default_buckets(spark) -> int:
     n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(4096, 4 * n))
+    return max(2, min(MAX_VALUE_BUCKETS, 4 * n))
 
 
 def value_histogram(df: DataFrame, cols: Sequence[str], cast: str = "double") -> DataFrame:
