@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, minhash_join, mixing, tokens, toxicity
+from riskframe.llm import decontaminate, licenses, minhash_join, mixing, secret_scan, surrogates, tokens, topk, toxicity, warc
 from riskframe.llm.store import scratch, table, written
 from riskframe.llm.words import sized
 
@@ -21,6 +21,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_digests(spark, path).withColumnRenamed("id", "doc_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").where(~toxicity.is_held_out("doc_id")))
@@ -35,11 +41,42 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
+#: Key of the registered query's surrogates; users pass their own secret.
+SURROGATE_KEY = "op6"
+
+
+def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = written(surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"), SURROGATE_KEY), "surrogates")
+    if (broken := surrogates.collisions(out).count()):
+        raise ValueError(f"{broken} surrogates collide")
+    return out.select("doc_id", "text", F.size("entities").alias("n_entities"),
+                      F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["kind"]))), ",").alias("kinds"))
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mix = mixing.mixed(written(sized(docs, "text", "size", keep_text=False), "sizes"))
     return mix.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op4_toxicity, op5_near_duplicates, op7_mix)}
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scanned(docs, secret_scan.train(docs))
+    n = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = secret_scan.joined(F.filter("secrets", lambda s: s["kind"] != "markov"))
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.joined(F.col("secrets")).alias("spans"), n("markov"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.detected(docs, licenses.train(docs)).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_toxicity, op5_near_duplicates, op6_surrogates, op7_mix, op8_top_k, op9_secrets, op10_licenses)}
 ORACLE: dict[str, str] = {}
