@@ -10,10 +10,15 @@ Method
 * Signatures are cut into 16 chunks of 4 symbols.  If two are at most 31 apart, some chunk has at most
   floor(31 / 16) = 1 differing symbol (pigeonhole), so the keys of a chunk are its 4 variants with one symbol left
   out: every pair within the distance shares at least one key, without exception.
-* Identical sets are one node.  Pairs come out of shared keys in two steps that lose no link between different sets
-  and never emit all pairs of a group: first every node against the smallest node of each of its keys (the best is
-  verified on the full sets); the links found make components; then only keys that still hold several components
-  are compared inside, in blocks of bounded size, and only pairs across components within the distance are verified.
+* Next to the signature a sketch holds one byte for each of ``BINS`` ranges of hash values: of the smallest member there.
+  Bins that differ witness different members of the symmetric difference, so more of them than a pair of these sizes
+  may have at the similarity rule the pair out for certain; for large sets the share of differing bins is tested
+  as well, 4.5 standard deviations above its mean.
+* Identical sets are one node.  Pairs come out of shared keys in three steps that lose no link between different sets
+  and never emit all pairs of a group: every node against the smallest node of each of its keys (the best is
+  verified on the full sets); then every node against its nearest partner in another component; at last only keys that
+  still hold several components are compared inside.  The latter two compare blocks of bounded size, look at
+  pairs across components only, and give each pair once, in the first key that it shares.
 * Components by alternating stars (``graph.components``).
 
 Defined results: null or empty text: n_shingles 0, own component.  Null id: n_shingles of its set, component null.
@@ -42,8 +47,14 @@ MAX_DISTANCE = 31
 #: Members of a key that are compared with each other in one go.
 BLOCK = 256
 
+#: Ranges of hash values in the sketch.
+BINS = 256
+
 _A = mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _B = mixed(np.arange(1001, 1001 + HASHES, dtype=np.uint64))
+_EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(56)
+#: What a node's ``sig`` bytes hold: symbols, size of the set, sketch.
+SIG = np.dtype([("symbols", "<u2", HASHES), ("size", "<i8"), ("sketch", "u1", BINS)])
 
 
 def shingle_set(text: bytes | None, cache) -> np.ndarray:
@@ -61,6 +72,39 @@ def signature(items: np.ndarray) -> np.ndarray:
     return (mixed(least) & np.uint64(0xFFFF)).astype("<u2")
 
 
+def sketch(items: np.ndarray) -> np.ndarray:
+    """For every bin 0 if empty, else a byte of its smallest member; ``items`` are sorted."""
+    at = np.searchsorted(items, _EDGES)
+    held = at < np.append(at[1:], len(items))
+    out = np.zeros(BINS, dtype=np.uint8)
+    out[held] = (mixed(items[at[held]]) % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def summary(items: np.ndarray) -> bytes:
+    out = np.zeros(1, dtype=SIG)
+    out["symbols"], out["size"], out["sketch"] = signature(items), len(items), sketch(items)
+    return out.tobytes()
+
+
+def signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=SIG)
+
+
+def near(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(may the pairs reach the similarity, differing bins, differing symbols) of two arrays of ``SIG``."""
+    differs = a["symbols"] != b["symbols"]
+    total = a["size"] + b["size"]
+    may = differs.sum(axis=1) <= MAX_DISTANCE
+    may &= 100 * np.minimum(a["size"], b["size"]) >= PERCENT * np.maximum(a["size"], b["size"])
+    bins = (a["sketch"] != b["sketch"]).sum(axis=1)
+    may &= bins <= total - 2 * -(-PERCENT * total // (100 + PERCENT))
+    used = ((a["sketch"] | b["sketch"]) != 0).sum(axis=1)
+    share = 1 - PERCENT / 100
+    may &= bins <= share * used + 4.5 * np.sqrt(share * (1 - share) * used) + 1
+    return may, bins, differs
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = word_hash_cache()
     for batch in batches:
@@ -68,7 +112,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text in text_bytes(batch.column(1)):
             items = shingle_set(text, cache)
             n.append(len(items))
-            sigs.append(signature(items).tobytes() if len(items) else None)
+            sigs.append(summary(items) if len(items) else None)
             digest = xxhash.xxh3_128_intdigest(items.tobytes())
             lo.append(digest & 0x7FFFFFFFFFFFFFFF)
             hi.append(digest >> 65)
@@ -84,7 +128,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
             part = batch.slice(at, 1024)
-            sig = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype="<u2").astype(np.uint64).reshape(-1, chunks, CHUNK)
+            sig = signatures(part.column(1))["symbols"].astype(np.uint64).reshape(-1, chunks, CHUNK)
             keys = np.empty((len(sig), chunks, CHUNK), dtype=np.uint64)
             for out in range(CHUNK):
                 packed = tag[:, out]
@@ -95,42 +139,56 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(keys.reshape(-1).view(np.int64))], names=["node", "key"])
 
 
-def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, i, j): pairs of a group across components whose signatures are near enough."""
-    held: pa.Table | None = None
+def _compared(best: bool):
+    """Rows sorted by (key, i, j): pairs (a, b, differing bins) of a group across components that may be near enough; with ``best``
+    only the nearest partner of every node of a batch."""
 
     def pairs(t: pa.Table) -> pa.RecordBatch:
         key, i, j, own, node, comp = (t.column(c).to_numpy() for c in ("key", "i", "j", "own", "node", "component"))
         group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype="<u2").reshape(-1, HASHES)
-        a, b = [], []
+        sig = signatures(t.column("sig"))
+        tag = (key.view(np.uint64) >> np.uint64(48)).astype(np.int64)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))]
         for lag in range(1, len(group)):
             same = group[lag:] == group[:-lag]
             if not same.any():
                 break
             x = np.flatnonzero(same & (comp[lag:] != comp[:-lag]) & ((i[lag:] == j[lag:]) | (own[lag:] != own[:-lag])))
-            for at in range(0, len(x), 65536):
-                y = x[at : at + 65536]
-                y = y[(sig[y] != sig[y + lag]).sum(axis=1) <= MAX_DISTANCE]
-                a.append(np.minimum(node[y], node[y + lag]))
-                b.append(np.maximum(node[y], node[y + lag]))
-        empty = np.empty(0, dtype=np.int64)
-        ab = np.unique(np.stack([np.concatenate([empty, *a]), np.concatenate([empty, *b])]), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(ab[0]), pa.array(ab[1])], names=["a", "b"])
+            for at in range(0, len(x), 32768):
+                y = x[at : at + 32768]
+                may, bins, differs = near(sig[y], sig[y + lag])
+                y, bins, differs = y[may], bins[may], differs[may].reshape(-1, HASHES // CHUNK, CHUNK)
+                if not best:  # a pair meets in every key that it shares; only the first of them gives it
+                    chunk = (differs.sum(axis=2) <= 1).argmax(axis=1)
+                    first = tag[y] == chunk * CHUNK + differs[np.arange(len(y)), chunk].argmax(axis=1)
+                    y, bins = y[first], bins[first]
+                found.append((node[y], node[y + lag], bins.astype(np.int64)))
+        a, b, bins = map(np.concatenate, zip(*found, strict=True))
+        if best:
+            a, b, bins = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([bins, bins])
+            order = np.lexsort((b, bins, a))
+            a, b, bins = a[order], b[order], bins[order]
+            top = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.empty(0, np.int64)
+            a, b, bins = a[top], b[top], bins[top]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bins)], names=["a", "b", "bins"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            if not t.num_rows:
+                continue
+            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
+            last = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            held = t.slice(cut)
+            if cut:
+                yield pairs(t.slice(0, cut))
+        if held is not None and held.num_rows:
+            yield pairs(held)
 
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        t = pa.concat_tables([held, t]) if held is not None else t
-        if not t.num_rows:
-            continue
-        key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-        last = np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))
-        cut = int(last[-1]) + 1 if len(last) else 0
-        held = t.slice(cut)
-        if cut:
-            yield pairs(t.slice(0, cut))
-    if held is not None and held.num_rows:
-        yield pairs(held)
+    return run
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,16 +218,39 @@ def _confirm(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
 
 
 def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(a, b, distance) of candidate pairs within the signature distance."""
-    def distance(batches):
+    """(a, b, bins) of candidate pairs that may reach the similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u2").reshape(-1, HASHES) for c in (2, 3))
-            d = (sa != sb).sum(axis=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d)], names=["a", "b", "distance"]).filter(pa.array(d <= MAX_DISTANCE))
+            may, bins, _ = near(signatures(batch.column(2)), signatures(batch.column(3)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bins)], names=["a", "b", "bins"]).filter(pa.array(may))
+
+    return (pairs.join(nodes.toDF("b", "sb"), "b").join(nodes.toDF("a", "sa"), "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, bins long"))
+
 
-    sig = nodes.select("node", "sig")
-    return (pairs.join(sig.toDF("b", "sb"), "b").join(sig.toDF("a", "sa"), "a").select("a", "b", "sa", "sb")
-            .mapInArrow(distance, "a long, b long, distance long"))
+def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after more links; ``label`` has the nodes that are linked so far."""
+    hops = (links.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left")
+            .select(F.coalesce("ca", "a").alias("p"), F.coalesce("cb", "b").alias("q")).where("p != q")
+            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")))
+    second = written(components(hops).toDF("component", "final"), "merged")
+    moved = label.join(second, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
+    alone = second.join(label.select("node"), second.component == label.node, "left_anti").select(F.col("component").alias("node"), F.col("final").alias("component"))
+    return written(moved.union(alone), "components")
+
+
+def _across(members: DataFrame, label: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
+    """Candidate pairs (a, b) across components, from the keys that hold several."""
+    placed = members.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    spread = (placed.join(several, "key").join(nodes, "node")
+              .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig"))
+    found = (spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compared(best), "a long, b long, bins long"))
+    if best:
+        found = found.groupBy("a").agg(F.min(F.struct("bins", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,39 +260,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     # One node per distinct set: its smallest id.
     sets = signed.where("n_shingles > 0 and id is not null").groupBy("lo", "hi").agg(F.min("id").alias("node"))
-    named = signed.join(sets, ["lo", "hi"], "left")
-    nodes = written(named.where("node = id and n_shingles > 0").select("node", "sig"), "nodes")
+    named = signed.select("id", "n_shingles", "lo", "hi").join(sets, ["lo", "hi"], "left")
+    nodes = written(signed.join(sets, ["lo", "hi"]).where("node = id").select("node", "sig"), "nodes")
     texts = rows.where("id is not null").select(F.col("id").alias("node"), "text")
 
     keys = nodes.mapInArrow(_keyed, "node long, key long")
     shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
     members = written(keys.join(shared, "key"), "members")
 
-    # Step 1: the best candidate of every node among the smallest nodes of its keys.
     stars = members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    best = _near(stars, nodes).groupBy("b").agg(F.min(F.struct("distance", "a")).alias("best"))
-    links = _confirm(best.select("best.a", "b"), texts, "star")
-    first = written(components(links), "components")
-
-    # Step 2: inside keys that hold several components.
-    placed = (members.join(first, "node", "left")
-              .select("key", "node", "n", F.coalesce("component", "node").alias("component")))
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    spread = (placed.join(mixed_keys, "key").join(nodes, "node")
-              .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig"))
-    across = (spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-              .mapInArrow(_compared, "a long, b long").distinct())
-    more = _confirm(written(across, "across"), texts, "across")
-    label = first.select(F.col("node").alias("x"), F.col("component").alias("cx"))
-    hops = (more.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left")
-            .select(F.coalesce("ca", "a").alias("p"), F.coalesce("cb", "b").alias("q")).where("p != q")
-            .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")))
-    second = components(hops).toDF("component", "final")
-    final = first.join(second, "component", "left").select("node", F.coalesce("final", "component").alias("component"))
-    alone = second.join(first, second.component == first.node, "left_anti").select(F.col("component").alias("node"), F.col("final").alias("component"))
-    of_node = written(final.union(alone), "final")
-    return (named.join(of_node, "node", "left")
+    chosen = _near(stars, nodes).groupBy("b").agg(F.min(F.struct("bins", "a")).alias("x")).select("x.a", "b")
+    label = written(components(_confirm(chosen, texts, "star")), "components")
+    for best in (True, False):
+        label = _merged(label, _confirm(written(_across(members, label, nodes, best), "across"), texts, "across"))
+    return (named.join(label, "node", "left")
             .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component")))
