@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.store import hash_sample
 from riskframe.llm.words import text_bytes
 
 SAMPLE = 3000
@@ -173,8 +174,8 @@ def fit(ordinary: list[list[str]]) -> Classifier:
 
 def train(docs: DataFrame, text_col: str = "text") -> Classifier:
     line = F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("p")
-    few = docs.select(line).where((F.length(F.trim("p")) > 0) & (F.octet_length("p") <= SAMPLE_BYTES)).distinct()
-    sample = [words(r["p"]) for r in few.orderBy(F.xxhash64("p"), "p").limit(SAMPLE).collect()]
+    few = docs.select(line).where((F.length(F.trim("p")) > 0) & (F.octet_length("p") <= SAMPLE_BYTES))
+    sample = [words(r["p"]) for r in hash_sample(few, F.col("p"), SAMPLE).collect()]
     sample = [w for w in sample if w and max(contained(w, f) for f in TEMPLATES) < 0.5]
     return fit(sample)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import struct
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.session import ensure_checkpoint_dir
@@ -50,3 +50,13 @@ def write_frames(frames: DataFrame, path: str) -> None:
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, content) of every non-empty file that ``write_frames`` wrote."""
     return spark.read.format("binaryFile").load(path).where("length > 0").select("path", "content")
+
+
+def hash_sample(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """The rows of the ``n`` smallest distinct hashes of ``key``, one row for each (a bounded training sample).
+
+    Only hashes are ordered; rows are filtered by the n-th of them, so no task or driver gets more than the sample.
+    """
+    hashed = df.withColumn("__hash", F.xxhash64(key))
+    cut = hashed.select("__hash").distinct().orderBy("__hash").limit(n).agg(F.max("__hash")).first()[0]
+    return hashed.where(F.col("__hash") <= F.lit(cut).cast("long")).dropDuplicates(["__hash"]).orderBy("__hash").drop("__hash")

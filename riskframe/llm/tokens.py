@@ -7,7 +7,7 @@ File format (one file per shard; every frame is followed by an empty skippable f
              length, first token in the file, number of tokens), then the number of documents
 The index finds a short document without reading its neighbours (``read_document``); the dictionary's hash is checked
 before any frame is read.  The dictionary is trained on the serialized ids of at most ``SAMPLE`` documents of at most
-``SAMPLE_BYTES`` bytes of text (first in a hash order of the ids); its size is at most ``DICTIONARY``.
+``SAMPLE_BYTES`` bytes of text (the smallest hashes of the texts); its size is at most ``DICTIONARY``.
 
 Encoding: the tokenizers library encodes words.  A vocabulary that drops white space (as the default one does) cuts at
 all ASCII white space, so a document's ids are those of its words one after the other, and a bounded cache of words
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import EMPTY_FRAME, read_files, skippable, write_frames
+from riskframe.llm.store import EMPTY_FRAME, hash_sample, read_files, skippable, write_frames
 from riskframe.llm.words import text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
@@ -133,7 +133,7 @@ def _ids(tokenizer: str):
 
 def train_dictionary(rows: DataFrame, tokenizer: str) -> bytes:
     """Dictionary over the serialized ids of a bounded sample of (id, text); empty if there is too little to learn from."""
-    few = (rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("id"), F.xxhash64("text")).limit(SAMPLE).select("text"))
+    few = hash_sample(rows.where(F.octet_length("text") <= SAMPLE_BYTES).select("text"), F.col("text"), SAMPLE)
     samples = [bytes(r["ids"]) for r in few.mapInArrow(_ids(tokenizer), "ids binary").collect()]
     if sum(map(len, samples)) < 8 * DICTIONARY // 4:
         return b""

@@ -4,8 +4,8 @@ File layout (one file per partition): a leading skippable frame 0x184D2A5D that
 Zstandard frame per record (a ``warcinfo`` record first), each followed by an empty skippable frame.  Any Zstandard
 reader that loads the dictionary reads the file as one WARC/1.1 stream; any record can be read by its offset alone.
 
-The dictionary is trained on the serialized records of at most ``SAMPLE`` pages of at most ``SAMPLE_BYTES`` bytes (first in
-a hash order of their payload digests); without enough of them records are compressed without one (empty frame).
+The dictionary is trained on the serialized records of at most ``SAMPLE`` pages of at most ``SAMPLE_BYTES`` bytes (the
+smallest hashes of the payloads); without enough of them records are compressed without one (empty frame).
 
 Of pages with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the largest id is archived as ``response``
 and the others as ``revisit`` records that refer to it; they hold the HTTP header with the payload's length and digest.
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import read_files, skippable, write_frames
+from riskframe.llm.store import hash_sample, read_files, skippable, write_frames
 
 DICTIONARY_FRAME = 0x184D2A5D
 REVISIT_BYTES = 1000
@@ -88,7 +88,7 @@ def train_dictionary(pages: DataFrame) -> bytes:
             rows = zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _payloads(b, 2), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array([page_record(i, u, p, None) for i, u, p in rows], pa.binary())], names=["record"])
 
-    few = pages.where(F.octet_length("payload") <= SAMPLE_BYTES).orderBy(F.xxhash64("payload"), "id").limit(SAMPLE)
+    few = hash_sample(pages.where(F.octet_length("payload") <= SAMPLE_BYTES), F.col("payload"), SAMPLE)
     samples = [bytes(r["record"]) for r in few.mapInArrow(records, "record binary").collect()]
     if sum(map(len, samples)) < 4 * DICTIONARY:
         return b""
