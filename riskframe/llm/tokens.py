@@ -20,10 +20,12 @@ a hash of their text; an empty table makes no rows.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +56,6 @@ class Encoder:
     """Ids of whole texts as little-endian bytes."""
 
     def __init__(self, tokenizer: str):
-        import os
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -122,9 +122,15 @@ class Encoder:
                 yield b"".join(map(get, s)) + self.end
 
 
+@lru_cache(maxsize=1)
+def encoder_of(tokenizer: str) -> Encoder:
+    """One encoder per Python worker: its vocabulary and words serve all tasks that the worker runs."""
+    return Encoder(tokenizer)
+
+
 def _ids(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(list(encoder.encode(text_bytes(batch.column(0)))), pa.binary())], names=["ids"])
 
@@ -145,10 +151,12 @@ def train_dictionary(rows: DataFrame, tokenizer: str) -> bytes:
 
 def _shards(tokenizer: str, dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         width = encoder.dtype.itemsize
         zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zd, write_content_size=True)
+        if zd:
+            zd.precompute_compress(level=LEVEL)
+        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zd)
         header = skippable(struct.pack(_HEAD, b"TOKS", 1, width, hashlib.sha256(dictionary).digest()) + dictionary, HEADER)
         at, first, index = len(header) + len(EMPTY_FRAME), 0, []
         out = [header]
