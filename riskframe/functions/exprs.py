@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_POW_32 = 4294967296.0
+TWO_POW_52 = 4503599627370496.0
 
 
 def col(c: str | Column) -> Column:
@@ -58,9 +58,9 @@ def seeded_md5(seed: int | str, *parts: str | Column) -> Column:
 
 
 def md5_uniform(md5_hex: Column, offset: int = 0) -> Column:
-    """Uniform [0,1) from 8 hex digits of an md5 string (same in DuckDB:
-    ``('0x' || substr(h, offset+1, 8))::bigint / 2^32``)."""
-    return F.conv(F.substring(md5_hex, offset + 1, 8), 16, 10).cast("long") / F.lit(TWO_POW_32)
+    """Uniform [0,1) from 13 hex digits (52 bits, exact in a double) of an md5 string (same in DuckDB:
+    ``('0x' || substr(h, offset+1, 13))::bigint / 2^52``)."""
+    return F.conv(F.substring(md5_hex, offset + 1, 13), 16, 10).cast("long") / F.lit(TWO_POW_52)
 
 
 def md5_bucket(md5_hex: Column, hex_digits: int = 4) -> Column:

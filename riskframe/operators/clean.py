@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DoubleType, FloatType, NumericType, StringType
 
 from riskframe.functions.exprs import lookup, null_safe_clip
 from riskframe.functions.ranking import exact_quantiles, modes, quantile_dict
@@ -58,9 +58,16 @@ def code_to_label(df: DataFrame, maps: Mapping[str, Mapping[int, str]]) -> DataF
     return df.withColumns(out) if out else df
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in a float column is a missing value (a CSV scan reads "NaN" as one)."""
+    out = {f.name: F.when(~F.isnan(f.name), F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    return df.withColumns(out) if out else df
+
+
 def clean_raw(df: DataFrame, roles: Roles) -> DataFrame:
-    """The raw-input cleaning shared by training and scoring."""
-    df = drop_columns(df, roles.drop)
+    """The raw-input cleaning shared by training and scoring (C1-C4).  The key is never dropped: dedup,
+    split and scored rows need it, and no feature list holds it."""
+    df = drop_columns(nan_to_null(df), [c for c in roles.drop if c != roles.key])
     df = map_target(df, roles.target, roles.target_map)
     df = cast_to_string(df, roles.as_string)
     return code_to_label(df, roles.code_labels)
@@ -82,12 +89,12 @@ def validation_report(df: DataFrame, roles: Roles) -> DataFrame:
 def validate(df: DataFrame, roles: Roles) -> None:
     """Raise on empty table, absent target, missing required columns."""
     if roles.target and roles.target not in df.columns:
-        raise ValidationError(f"Target column '{roles.target}' not found.")
+        raise ValidationError(f"no column {roles.target!r} to predict")
     missing = [c for c in roles.required if c not in df.columns]
     if missing:
-        raise ValidationError(f"Missing columns: {missing}")
+        raise ValidationError(f"the table lacks {missing}")
     if df.isEmpty():
-        raise ValidationError("Dataset is empty.")
+        raise ValidationError("the table has no rows")
 
 
 # ---------------------------------------------------------------- C6 --------

@@ -73,7 +73,7 @@ class EncoderModel:
         """Every fitted input column must be present; error names the missing ones."""
         missing = [c for c in self.input_columns() if c not in df.columns]
         if missing:
-            raise MissingColumnsError(f"Missing required columns in input: {missing}")
+            raise MissingColumnsError(f"the input has no column {missing}")
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """E4 apply: one projection; ``keep`` carries key / label columns along."""
@@ -101,19 +101,21 @@ class EncoderModel:
 
 
 def fit_encoder(train: DataFrame, ordinal: Mapping[str, Sequence[str]], onehot: Sequence[str],
-                scaled: Sequence[str], drop_first: bool = True) -> EncoderModel:
+                scaled: Sequence[str], drop_first: bool = True, max_levels: int = 1000) -> EncoderModel:
     """E4 fit (E1 levels are given; E2 levels learned sorted, first dropped; E3 mean and
-    population sd, zero sd -> 1).  A single aggregation job."""
+    population sd, zero sd -> 1).  Levels are found by a distributed distinct; a column of more than
+    ``max_levels`` raises (every level becomes a column), nothing is cut off."""
     aggs = []
-    for c in onehot:
-        aggs.append(F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"lv__{c}"))
     for c in scaled:
         x = F.col(c).cast("double")
         aggs += [F.avg(x).alias(f"mu__{c}"), F.stddev_pop(x).alias(f"sd__{c}")]
     row = train.agg(*aggs).first() if aggs else None
     oh = {}
     for c in onehot:
-        levels = list(row[f"lv__{c}"] or [])
+        found = train.select(F.col(c).cast("string").alias("v")).where("v is not null").distinct().limit(max_levels + 1).collect()
+        if len(found) > max_levels:
+            raise ValueError(f"column {c!r} has more than {max_levels} levels")
+        levels = sorted(r["v"] for r in found)
         oh[c] = tuple(levels[1:] if drop_first else levels)
     sc = {}
     for c in scaled:
@@ -128,5 +130,5 @@ def align_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Select the training column set in training order; missing -> error."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise MissingColumnsError(f"Missing required columns in input: {sorted(missing)}")
+        raise MissingColumnsError(f"the input has no column {sorted(missing)}")
     return df.select(*columns)

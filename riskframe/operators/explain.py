@@ -10,7 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,8 +54,12 @@ def linear_model_weights(model, names: Sequence[str]) -> dict | None:
 
 
 def explain(df: DataFrame, key: str, model, names: Sequence[str], means: Mapping[str, float]) -> DataFrame | None:
-    """X5/X7 dispatcher: linear models -> X2; other model types -> None with a warning
-    (tree models use ``tree_shap``)."""
+    """X5/X7 dispatcher: linear models -> X2, forests and boosted trees -> X3; others -> None with a warning."""
+    if isinstance(model, (RandomForestClassificationModel, GBTClassificationModel)):
+        from riskframe.operators.tree_shap import tree_shap
+
+        wide = df.withColumn("_vec", F.array(*[F.col(n).cast("double") for n in names]))
+        return tree_shap(wide, key, "_vec", model, names)
     w = linear_model_weights(model, names)
     if w is None:
         log.warning("no explainer for %s", type(model).__name__)
@@ -77,6 +81,17 @@ def top_contributions(phi: DataFrame, key: str, top_n: int = 5) -> DataFrame:
     return ranked.withColumn("direction", direction(F.col("phi")))
 
 
+def top_linear(df: DataFrame, weights: Mapping[str, float], means: Mapping[str, float], top_n: int = 5) -> F.Column:
+    """X8 for a linear model as one expression of the row: its ``top_n`` largest contributions as an array of structs
+    (rank, feature, phi, direction), so that ranking a row's features moves no row."""
+    phis = [F.struct((-F.abs(phi)).alias("o"), F.lit(f).alias("feature"), phi.alias("phi"))
+            for f, w in weights.items()
+            for phi in [F.lit(float(w)) * (F.col(f).cast("double") - F.lit(float(means[f])))]]
+    top = F.slice(F.array_sort(F.array(*phis)), 1, top_n)
+    return F.transform(top, lambda s, i: F.struct((i + 1).cast("int").alias("rank"), s["feature"].alias("feature"), s["phi"].alias("phi"),
+                                                  direction(s["phi"]).alias("direction")))
+
+
 def direction(phi) -> F.Column:
     """X9: "increases" when phi > 0, else "decreases"."""
     return F.when(phi > 0, F.lit("increases")).otherwise(F.lit("decreases"))

@@ -16,7 +16,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -171,4 +171,4 @@ def load_model(path: str) -> PipelineModel:
 
 
 __all__ = ["F1MacroEvaluator", "ESTIMATORS", "search", "sample_maps", "logistic_maps", "forest_maps", "boosted_maps",
-           "predict_proba", "full_pipeline", "save_model", "load_model", "Pipeline", "ParamGridBuilder"]
+           "predict_proba", "full_pipeline", "save_model", "load_model"]

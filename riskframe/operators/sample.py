@@ -9,12 +9,11 @@ no window ever holds a whole class in one task.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from riskframe.functions.exprs import lookup, md5_uniform, seeded_md5
+from riskframe.functions.exprs import lookup, md5_bucket, md5_uniform, seeded_md5
 from riskframe.functions.ranking import hash_rank
 from riskframe.session import cut_lineage
 
@@ -44,9 +43,9 @@ def test_quotas(counts: dict, test_size: float) -> dict:
     return {k: counts[k] - train[k] for k in counts}
 
 
-def _class_counts(df: DataFrame, label: str) -> dict:
-    # bounded: one row per class
-    return {r[0]: int(r[1]) for r in df.groupBy(label).count().collect()}
+def _class_counts(df: DataFrame, label: str, nulls: bool = False) -> dict:
+    """Rows per class (bounded: one row per class); rows without a label are no class unless ``nulls``."""
+    return {r[0]: int(r[1]) for r in df.groupBy(label).count().collect() if nulls or r[0] is not None}
 
 
 # ------------------------------------------------------------------ R2/R3 ----
@@ -54,22 +53,39 @@ def split(df: DataFrame, key: str, label: str | None, test_size: float = 0.2, se
           stratify: bool = True, split_col: str = "split") -> DataFrame:
     """R2 (stratified) / R3 (plain) hold-out split with exact sizes.
 
-    Rows are ranked by md5(seed:key) within their class (or globally); the first
-    ``quota`` rows of each class are the test part."""
-    h = "_h"
-    d = df.withColumn(h, seeded_md5(seed, key))
-    if stratify and label:
-        quotas = test_quotas(_class_counts(df, label), test_size)
-        ranked = hash_rank(d, h, [key], [label], name="_rk", groups_bound=len(quotas))
-        quota = F.coalesce(lookup(F.col(label), {k: v for k, v in quotas.items() if k is not None}), F.lit(0))
-        if None in quotas:
-            quota = F.when(F.col(label).isNull(), F.lit(quotas[None])).otherwise(quota)
-    else:
-        n = df.count()
-        ranked = hash_rank(d, h, [key], [], name="_rk", groups_bound=1)
-        quota = F.lit(int(math.ceil(test_size * n)))
-    out = ranked.withColumn(split_col, F.when(F.col("_rk") <= quota, F.lit("test")).otherwise(F.lit("train")))
-    return out.drop(h, "_rk")
+    In the order of md5(seed:key) the first ``quota`` rows of each class (or of the table) are the test part.  Rows are
+    counted per class and md5 bucket, which finds the bucket that the quota ends in; only rows of that bucket (one of
+    65,536) are ranked, to find the last test row.  The split itself then compares each row with that one: no row of the
+    table is moved."""
+    cls = F.col(label) if stratify and label else F.lit(0)
+    d = df.select(cls.alias("_c"), F.col(key).alias("_k"), seeded_md5(seed, key).alias("_h"))
+    counted = d.groupBy("_c", md5_bucket(F.col("_h")).alias("_b")).agg(F.count("*").alias("_n"))
+    totals = {r[0]: int(r[1]) for r in counted.groupBy("_c").agg(F.sum("_n")).collect()}  # one row per class
+    quotas = test_quotas(totals, test_size)
+    spark = df.sparkSession
+    if not totals:
+        return df.withColumn(split_col, F.lit("train"))
+    wanted = spark.createDataFrame([(c, q) for c, q in quotas.items()], StructType([d.schema["_c"], StructField("_q", LongType())]))
+    upto = F.sum("_n").over(Window.partitionBy("_c").orderBy("_b"))
+    ends = (counted.withColumn("_upto", upto).join(F.broadcast(wanted.toDF("_qc", "_q")), F.col("_c").eqNullSafe(F.col("_qc")))
+            .where((F.col("_upto") >= F.col("_q")) & (F.col("_upto") - F.col("_n") < F.col("_q")))
+            .select("_c", "_b", (F.col("_q") - F.col("_upto") + F.col("_n")).alias("_left")).collect())
+    if not ends:
+        return df.withColumn(split_col, F.lit("train"))
+    at_end = F.lit(False)
+    left = F.lit(None).cast("long")
+    for e in ends:  # one per class
+        here = F.col("_c").eqNullSafe(F.lit(e["_c"])) & (md5_bucket(F.col("_h")) == e["_b"])
+        at_end = at_end | here
+        left = F.when(here, F.lit(e["_left"])).otherwise(left)
+    rank = F.row_number().over(Window.partitionBy("_c").orderBy("_h", "_k"))
+    last = d.where(at_end).withColumn("_left", left).withColumn("_r", rank).where("_r = _left").collect()
+    test = F.lit(False)
+    h = seeded_md5(seed, key)
+    for r in last:
+        up_to = (h < r["_h"]) | ((h == r["_h"]) & (F.col(key) <= F.lit(r["_k"])))
+        test = test | (cls.eqNullSafe(F.lit(r["_c"])) & up_to)
+    return df.withColumn(split_col, F.when(test, F.lit("test")).otherwise(F.lit("train")))
 
 
 # ------------------------------------------------------------------ M8 -------
@@ -78,7 +94,8 @@ def assign_folds(df: DataFrame, key: str, label: str | None, k: int = 5, seed: i
     """M8: stratified fold id = (rank within class by md5(seed:key) - 1) mod k, int."""
     d = df.withColumn("_h", seeded_md5(seed, key))
     parts = [label] if label else []
-    ranked = hash_rank(d, "_h", [key], parts, name="_rk", groups_bound=None)
+    bound = len(_class_counts(df, label, nulls=True)) if label else 1
+    ranked = hash_rank(d, "_h", [key], parts, name="_rk", groups_bound=bound)
     return ranked.withColumn(fold_col, ((F.col("_rk") - 1) % k).cast("int")).drop("_h", "_rk")
 
 
@@ -172,6 +189,8 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
     ``is_synthetic``; synthetic keys are negative (-(s+1))."""
     spark = df.sparkSession
     counts = _class_counts(df, label)
+    if not counts:
+        return df.withColumn(synthetic_col, F.lit(False))
     if minority is None:
         minority = min(counts, key=lambda c: (counts[c], str(c)))
     m = counts.get(minority, 0)
@@ -188,7 +207,7 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
     hcol = seeded_md5(seed, F.lit("smote"), F.col("s"))
     syn = syn.withColumn("_hs", hcol)
     pick = F.floor(md5_uniform(F.col("_hs"), 0) * F.lit(float(m * k_eff))).cast("long")
-    syn = syn.select("s", pick.alias("pick"), md5_uniform(F.col("_hs"), 8).alias("gap"))
+    syn = syn.select("s", pick.alias("pick"), md5_uniform(F.col("_hs"), 13).alias("gap"))
     syn = syn.select("s", "gap", (F.col("pick") / k_eff).cast("long").alias("b_idx"),
                      ((F.col("pick") % k_eff) + 1).cast("int").alias("j"))
     j1 = syn.join(ranked, "b_idx").join(nn, ["b_key", "j"])
@@ -207,7 +226,3 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
 def smote_if(df: DataFrame, enabled: bool, **kw) -> DataFrame:
     """SMOTE switch."""
     return smote(df, **kw) if enabled else df.withColumn(kw.get("synthetic_col", "is_synthetic"), F.lit(False))
-
-
-def vector_to_array_col(df: DataFrame, cols: Sequence[str], out: str) -> DataFrame:
-    return df.withColumn(out, F.array(*[F.col(c).cast("double") for c in cols]))

@@ -35,13 +35,15 @@ def linear_probability(weights: Mapping[str, float], intercept: float = 0.0) ->
     return sigmoid(z)
 
 
-def score_table(raw: DataFrame, roles: Roles, model: PipelineModel, feature_columns: Sequence[str],
-                add_features: Callable[[DataFrame], DataFrame] | None = None,
+def score_table(raw: DataFrame, roles: Roles, model: PipelineModel | Callable[[DataFrame], DataFrame],
+                feature_columns: Sequence[str], add_features: Callable[[DataFrame], DataFrame] | None = None,
                 profile: clean.Profile | None = None, threshold: float = 0.5) -> DataFrame:
-    """Batch score a raw table with a fitted PipelineModel; the input columns are
-    kept and Prediction / Probability appended.  ``profile`` (optional) applies the
-    fitted imputation and clipping before scoring."""
-    cleaned = clean.clean_raw(raw, roles)
+    """Batch or stream score a raw table; the input columns are returned as they came and Prediction /
+    Probability appended.  ``model`` is a fitted PipelineModel, or a function that adds the probability as
+    column ``_p``.  ``profile`` (optional) applies the fitted imputation and clipping to what is scored."""
+    # the row as it came travels beside the working columns
+    held = raw.withColumn("_raw", F.struct(*raw.columns))
+    cleaned = clean.clean_raw(held, roles)
     if roles.target and roles.target in cleaned.columns:
         cleaned = cleaned.drop(roles.target)
     if profile is not None:
@@ -49,12 +51,14 @@ def score_table(raw: DataFrame, roles: Roles, model: PipelineModel, feature_colu
     feats = add_features(cleaned) if add_features else cleaned
     missing = [c for c in feature_columns if c not in feats.columns]
     if missing:
-        raise encode.MissingColumnsError(f"Missing required columns in input: {sorted(missing)}")
-    scored = model.transform(feats)
-    p = vector_to_array(F.col("probability"))[1]
-    out = label_and_probability(scored, p, threshold)
-    keep = [c for c in raw.columns if c in out.columns and c != roles.target]
-    return out.select(*keep, "Prediction", "Probability")
+        raise encode.MissingColumnsError(f"the input has no column {sorted(missing)}")
+    if callable(model):
+        scored = model(feats)
+    else:
+        scored = model.transform(feats).withColumn("_p", vector_to_array(F.col("probability"))[1])
+    out = label_and_probability(scored, F.col("_p"), threshold)
+    kept = [c for c in raw.columns if c not in ("Prediction", "Probability")]
+    return out.select(*[F.col("_raw")[c].alias(c) for c in kept], "Prediction", "Probability")
 
 
 def preview(scored: DataFrame, key: str, n: int = 10) -> DataFrame:

@@ -152,6 +152,3 @@ SELECT o_orderkey, CAST(CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 0 END A
        o_totalprice, o_orderpriority, c_acctbal, c_mktsegment FROM order_subject""")
 def c12_clean_raw(spark, sf_dir):
     return clean.clean_raw(order_subject(spark, sf_dir), ORDER_ROLES)
-
-
-DOC_SQL = DOC_SUBJECT_SQL  # re-exported for the profile queries

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import encode, explain, score
 from riskframe.plans.catalog import DOC_SUBJECT_SQL, ORDER_SUBJECT_SQL, query, r6, with_views
+from riskframe.spec import Roles
 from riskframe.plans.subjects import doc_subject, md5_mask, order_subject
 
 DOC_WEIGHTS = {"scaler__n_chars": 0.8, "scaler__n_spaces": -0.3, "scaler__n_newlines": 0.2,
@@ -65,16 +66,20 @@ def x4_shap_summary(spark, sf_dir):
 SELECT doc_id, feature, round(phi, 6) AS phi, CAST(rank AS INTEGER) AS rank,
        CASE WHEN phi > 0 THEN 'increases' ELSE 'decreases' END AS direction
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(phi) DESC, feature) AS rank FROM phi) t
-WHERE rank <= 3""")
+WHERE rank <= 5""")
 def x8_top_contributions(spark, sf_dir):
-    t = explain.top_contributions(doc_phi(spark, sf_dir), "doc_id", 3)
-    return t.withColumn("phi", r6("phi"))
+    enc = doc_encoded(spark, sf_dir)
+    means = explain.background_means(enc, list(DOC_WEIGHTS))
+    t = enc.select("doc_id", F.inline(explain.top_linear(enc, DOC_WEIGHTS, means)))
+    return t.select("doc_id", "feature", r6("phi").alias("phi"), "rank", "direction")
 
 
 def doc_scored(spark, sf_dir):
-    enc = doc_encoded(spark, sf_dir)
+    raw = doc_subject(spark, sf_dir).select(*DOC_INPUT)
+    enc = _encoder(raw)
     p = score.linear_probability(DOC_WEIGHTS, DOC_INTERCEPT)
-    return score.label_and_probability(enc, p, 0.5).select(*DOC_INPUT, "Prediction", "Probability")
+    return score.score_table(raw, Roles(target="label", key="doc_id"),
+                             lambda d: enc.transform(d, keep=["_raw"]).withColumn("_p", p), enc.input_columns())
 
 
 @query("p1_batch_score", EXPLAIN_VIEWS + """
@@ -140,7 +145,7 @@ SELECT p.doc_id, CASE WHEN p.p >= 0.5 THEN 'Yes' ELSE 'No' END AS Prediction, ro
        CASE WHEN t.phi > 0 THEN 'increases' ELSE 'decreases' END AS direction
 FROM prob p JOIN (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(phi) DESC, feature) AS rank FROM phi) t
   ON p.doc_id = t.doc_id
-WHERE t.rank <= 3"""
+WHERE t.rank <= 5"""
 
 
 @query("p6_score_and_explain", P6_SQL)
@@ -156,7 +161,7 @@ def p6_score_and_explain(spark, sf_dir):
     full = score.complete_records(partial, defaults)
     enc = enc_model.transform(full, keep=["doc_id"])
     means = explain.background_means(enc, list(DOC_WEIGHTS))
-    phi = explain.top_contributions(explain.linear_contributions(enc, "doc_id", DOC_WEIGHTS, means), "doc_id", 3)
     scored = score.label_and_probability(enc, score.linear_probability(DOC_WEIGHTS, DOC_INTERCEPT))
-    return scored.select("doc_id", "Prediction", "Probability").join(phi, "doc_id") \
+    top = F.inline(explain.top_linear(scored, DOC_WEIGHTS, means))
+    return scored.select("doc_id", "Prediction", "Probability", top) \
         .select("doc_id", "Prediction", "Probability", "feature", r6("phi").alias("phi"), "rank", "direction")

@@ -235,9 +235,9 @@ ranked AS (SELECT doc_id AS b_key, x1, x2, x3,
                   row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(doc_id AS VARCHAR))), doc_id) - 1 AS b_idx
            FROM mi)""", """
 syn AS (SELECT s, md5(concat_ws(':', '42', 'smote', CAST(s AS VARCHAR))) AS h FROM (SELECT unnest(range(0, CAST(maj - m AS BIGINT))) AS s FROM cnt))""", """
-syn2 AS (SELECT s, CAST(floor(CAST(('0x' || substr(h, 1, 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE
+syn2 AS (SELECT s, CAST(floor(CAST(('0x' || substr(h, 1, 13))::BIGINT AS DOUBLE) / 4503599627370496.0::DOUBLE
                         * CAST(m * 5 AS DOUBLE)) AS BIGINT) AS pick,
-                CAST(('0x' || substr(h, 9, 8))::BIGINT AS DOUBLE) / 4294967296.0::DOUBLE AS gap FROM syn, cnt)""", """
+                CAST(('0x' || substr(h, 14, 13))::BIGINT AS DOUBLE) / 4503599627370496.0::DOUBLE AS gap FROM syn, cnt)""", """
 syn3 AS (SELECT s, gap, pick // 5 AS b_idx, CAST(pick % 5 + 1 AS INTEGER) AS j FROM syn2)""") + """
 SELECT -(s + 1) AS doc_id, 1 AS label, round(b.x1 + gap * (n.x1 - b.x1), 6) AS x1, round(b.x2 + gap * (n.x2 - b.x2), 6) AS x2,
        round(b.x3 + gap * (n.x3 - b.x3), 6) AS x3, true AS is_synthetic

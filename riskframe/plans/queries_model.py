@@ -20,7 +20,7 @@ _CACHE: dict = {}
 def _trained(spark, sf_dir):
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = training.train_all(vec_subject(spark, sf_dir), "vec_id", "target", "features_arr")
+        _CACHE[key] = training.train_all(vec_subject(spark, sf_dir), "vec_id", "target", "features_arr", training.SMALL_SEARCH)
     return _CACHE[key]
 
 

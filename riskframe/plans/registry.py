@@ -4,20 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.plans import queries_clean  # noqa: F401  (registers)
+from riskframe.plans import (  # noqa: F401  (each module registers its queries)
+    queries_clean,
+    queries_eval,
+    queries_explain,
+    queries_features,
+    queries_model,
+    queries_profile,
+    queries_sinks,
+)
 from riskframe.plans.catalog import ORACLE, QUERIES
 
-try:  # later modules register more queries
-    from riskframe.plans import queries_profile  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-for _mod in ("queries_features", "queries_model", "queries_eval", "queries_explain", "queries_sinks"):
-    try:
-        __import__(f"riskframe.plans.{_mod}")
-    except ImportError as _e:  # pragma: no cover
-        if _mod not in str(_e):
-            raise
-
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskframe.operators import clean, profile

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 # Declared schemas of the driver tables (no inference on read).
 TABLE_SCHEMAS = {
@@ -45,18 +46,22 @@ def _require(path: str) -> None:
     if ":" in local.split("/")[0] or "://" in local:
         return
     if not os.path.exists(local):
-        raise FileNotFoundError(f"{path} not found.")
+        raise FileNotFoundError(f"there is no file {path}")
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | StructType, label_optional: bool = False) -> DataFrame:
-    """CSV with header and a declared schema.  ``label_optional`` reads in
-    PERMISSIVE mode so a scoring file without the target column still loads."""
+    """CSV with header and a declared schema.  ``label_optional``: declared columns that the header does not
+    name (the target of a scoring file) are read as null; the header decides the order of the others."""
     _require(path)
-    reader = spark.read.schema(schema).option("header", True)
-    reader = reader.option("mode", "PERMISSIVE" if label_optional else "FAILFAST")
-    if label_optional:
-        reader = reader.option("enforceSchema", False)
-    return reader.csv(path)
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    declared = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+    if not label_optional:
+        return reader.schema(declared).csv(path)
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    by_name = {f.name: f for f in declared.fields}
+    present = StructType([by_name.get(c) or StructField(c, StringType()) for c in header])
+    rows = reader.schema(present).option("enforceSchema", False).csv(path)
+    return rows.select([F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in declared.fields])
 
 
 def read_parquet(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:

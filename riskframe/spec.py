@@ -99,6 +99,13 @@ INVOLVEMENT_SCORES = {"Low": 1, "Medium": 2, "High": 3, "Very High": 4}
 # the fields a partial record carries when scoring one person
 ASKED_NUMERICAL = ("Age", "MonthlyIncome", "YearsAtCompany")
 ASKED_CATEGORICAL = ("Department", "JobRole", "MaritalStatus", "OverTime")
+MODEL_DISPLAY = {
+    "logistic_regression": "Logistic Regression",
+    "random_forest": "Random Forest",
+    "gbt": "GBT",
+}
+# Verdict given before the winner is known (the winner's row is overwritten).
+MODEL_VERDICT = {"Logistic Regression": "Baseline", "Random Forest": "Compare", "GBT": "Compare"}
 # end of fixed values
 
 EMPLOYEE = Roles(
@@ -115,11 +122,3 @@ EMPLOYEE = Roles(
     as_string=("JobLevel", "StockOptionLevel"),
     target_map={"Yes": 1, "No": 0},
 )
-
-MODEL_DISPLAY = {
-    "logistic_regression": "Logistic Regression",
-    "random_forest": "Random Forest",
-    "gbt": "GBT",
-}
-# Verdict given before the winner is known (the winner's row is overwritten).
-MODEL_VERDICT = {"Logistic Regression": "Baseline", "Random Forest": "Compare", "GBT": "Compare"}

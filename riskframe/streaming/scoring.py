@@ -12,9 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe.operators import clean, score
@@ -23,7 +21,8 @@ from riskframe.spec import Roles
 
 def score_stream(spark: SparkSession, source_dir: str, schema: str, roles: Roles, model: PipelineModel,
                  add_features: Callable[[DataFrame], DataFrame] | None = None, fmt: str = "parquet",
-                 threshold: float = 0.5, max_files_per_trigger: int | None = None) -> DataFrame:
+                 threshold: float = 0.5, max_files_per_trigger: int | None = None,
+                 profile: clean.Profile | None = None) -> DataFrame:
     """Streaming DataFrame of scored rows (input columns + Prediction + Probability)."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
@@ -31,15 +30,7 @@ def score_stream(spark: SparkSession, source_dir: str, schema: str, roles: Roles
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.load(source_dir)
-    cleaned = clean.clean_raw(raw, roles)
-    if roles.target and roles.target in cleaned.columns:
-        cleaned = cleaned.drop(roles.target)
-    feats = add_features(cleaned) if add_features else cleaned
-    scored = model.transform(feats)
-    p = vector_to_array(F.col("probability"))[1]
-    out = score.label_and_probability(scored, p, threshold)
-    keep = [c for c in raw.columns if c in out.columns and c != roles.target]
-    return out.select(*keep, "Prediction", "Probability")
+    return score.score_table(raw, roles, model, (), add_features, profile, threshold)
 
 
 def start(scored: DataFrame, sink_dir: str, checkpoint_dir: str, fmt: str = "parquet",
