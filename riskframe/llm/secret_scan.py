@@ -113,8 +113,10 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     ordinary = np.maximum(every - random, 0)
 
     def conditional(c: np.ndarray) -> np.ndarray:
-        c = c[:, : N - 1] + 0.05
-        return c / c.sum(axis=1, keepdims=True)
+        """Contexts seen seldom lean on how often a character comes at all."""
+        c = c[:, : N - 1]
+        overall = (c.sum(axis=0) + 0.5) / (c.sum() + 0.5 * (N - 1))
+        return (c + 2 * overall) / (c.sum(axis=1, keepdims=True) + 2)
 
     seen = 0.5 if random.sum() else 0.0
     mixture = seen * conditional(random) + (1 - seen) / (N - 1)
