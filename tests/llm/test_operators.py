@@ -305,7 +305,7 @@ def test_secrets(spark):
     stray = "q7Zk9XwB2vT4mRp8LsYd3"
     prose = "the quick brown fox jumps over a lazy dog while seven tall giraffes watch from behind an old wooden fence".split()
     rows = [(i, " ".join(rng.choices(prose, k=60)) + f" password={key(12)} and the ordinary_identifier_of_things") for i in range(60)]
-    rows += [(200, "ñ API_KEY: 'abc' token=secret:abcdefgh12 AKIA" + "A1" * 8 + " AKIAX " + "0af" * 12 + " abcdef"), (201, f"see {stray} here"), *hard(rng)]
+    rows += [(200, "ñ API_KEY: 'abc' token=secret:abcdefgh12 AKIA" + "A1" * 8 + " AKIAX " + "0af" * 12 + " abcdef"), (201, f"see {stray} here"), *hard(rng)[:6], (105, " ".join(rng.choices(prose, k=20000))), hard(rng)[7]]
     out = secret_scan.scanned(docs(spark, rows), secret_scan.train(docs(spark, rows)))
     got = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["secrets"]] for r in out.collect()}
     for k, t in rows:
