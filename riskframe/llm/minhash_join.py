@@ -240,6 +240,8 @@ def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
 
 def _across(members: DataFrame, label: DataFrame, nodes: DataFrame, best: bool) -> DataFrame:
     """Candidate pairs (a, b) across components, from the keys that hold several."""
+    if best:  # a first guess of the nearest partner needs one key of each chunk only; the last step looks at all keys
+        members = members.where(F.shiftrightunsigned("key", 48) % CHUNK == 0)
     placed = members.join(label, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")

@@ -27,6 +27,8 @@ from riskframe.llm.words import text_bytes
 
 MIN_LENGTH = 16
 MARGIN = 0.9
+#: Weight of the overall frequencies in a context, in characters.
+PRIOR = 500
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -113,10 +115,11 @@ def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     ordinary = np.maximum(every - random, 0)
 
     def conditional(c: np.ndarray) -> np.ndarray:
-        """Contexts seen seldom lean on how often a character comes at all."""
+        """Contexts seen seldom lean on how often a character comes at all, so that a stray secret among the ordinary
+        tokens does not vouch for itself."""
         c = c[:, : N - 1]
         overall = (c.sum(axis=0) + 0.5) / (c.sum() + 0.5 * (N - 1))
-        return (c + 2 * overall) / (c.sum(axis=1, keepdims=True) + 2)
+        return (c + PRIOR * overall) / (c.sum(axis=1, keepdims=True) + PRIOR)
 
     seen = 0.5 if random.sum() else 0.0
     mixture = seen * conditional(random) + (1 - seen) / (N - 1)
