@@ -79,4 +79,21 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_toxicity, op5_near_duplicates, op6_surrogates, op7_mix, op8_top_k, op9_secrets, op10_licenses)}
-ORACLE: dict[str, str] = {}
+
+#: DuckDB SQL of the operators that SQL can express.
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS payload FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS last FROM p),
+r AS (SELECT *, strlen(payload) >= 1000 AND last IS NOT NULL AND page_id IS DISTINCT FROM last AS again FROM g)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN last END AS refers_to
+FROM r""".strip(),
+    "op8_top_k": """
+WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) t WHERE rank <= 20""".strip(),
+}
