@@ -45,7 +45,7 @@ HASHES = 64
 CHUNK = 4
 MAX_DISTANCE = 31
 #: Members of a key that are compared with each other in one go.
-BLOCK = 256
+BLOCK = 2048
 
 #: Ranges of hash values in the sketch.
 BINS = 256
