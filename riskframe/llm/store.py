@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import struct
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,24 @@ from riskframe.session import ensure_checkpoint_dir
 EMPTY_FRAME = struct.pack("<II", 0x184D2A50, 0)
 
 
+#: Arrow batches of the jobs that this module starts: rows and bytes at most (a single longer row is a batch of its own).
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside hand whole texts to Python in small batches: a task holds a batch several times (JVM, pipe, Arrow,
+    Python objects), and allocators keep the largest that they have seen."""
+    before = {k: spark.conf.get(k, None) for k in BATCH}
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -30,7 +50,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -44,7 +65,8 @@ def write_frames(frames: DataFrame, path: str) -> None:
     The text sink copies the bytes of the string unchanged, goes through Spark's commit protocol (a retried or
     speculated task leaves no second file) and reaches every store that Spark can write.
     """
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME.decode("ascii")).text(path)
+    with small_batches(frames.sparkSession):
+        frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME.decode("ascii")).text(path)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
