@@ -10,6 +10,7 @@ from riskframe.plans import (  # noqa: F401  (each module registers its queries)
     queries_explain,
     queries_features,
     queries_model,
+    queries_pipeline,
     queries_profile,
     queries_sinks,
 )

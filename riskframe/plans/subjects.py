@@ -20,11 +20,11 @@ def md5_mask(key: str, hex_char: str) -> Column:
     return F.substring(F.md5(F.col(key).cast("string")), 1, 1) == F.lit(hex_char)
 
 
-def doc_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents ⋈ labels: target = 1 - quality (about 15 % positives)."""
+def doc_subject(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+    """documents ⋈ labels: target = 1 - quality (about 15 % positives); ``how`` "left" keeps documents without a label."""
     d = read_table(spark, sf_dir, "documents")
     lb = read_table(spark, sf_dir, "labels")
-    j = d.join(lb, "doc_id", "inner")
+    j = d.join(lb, "doc_id", how)
     text = F.col("text")
     return j.select(
         "doc_id", "lang", "source", "n_chars",
