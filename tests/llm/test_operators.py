@@ -60,6 +60,21 @@ def test_inconsistent_slots_do_not_count(spark):
     assert found == {1}
 
 
+def test_reparameterised_items_with_many_slots_and_opening_names(spark):
+    dense = "Tom buys 3 pens and 4 books for 12 dollars in 2 shops"
+    middle = "A farmer sells 6 red apples at noon. Tom eats one green pear near the old mill. Mary sings 2 songs there"
+    full = "a letter from John Smith came to the house where Mary lives with 7 cats and one dog"
+    table = "Tom pays 3 and 4 and 5 and 6 for hats"
+    bench = spark.createDataFrame([(1, dense), (2, middle), (3, full), (4, table)], "item_id long, text string")
+    rows = [(1, "see w " + dense.replace("3", "5").replace("4", "9").replace("12", "31").replace(" 2 ", " 6 ")), (2, middle.replace("Tom", "Anna Lee").replace("Mary", "Eva").replace("6", "8")),
+            (3, full.replace("John Smith", "Anna").replace("Mary", "Eva Maria Brown")), (4, "By " + dense.replace("Tom", "Eva Brown").replace("12", "40") + " today"),
+            (5, "find nothing of these 3 pens and 4 hats for 12 cats in 2 boats"), (6, dense.replace("Tom", "tom").replace("4", "8")),
+            (7, table.replace("3", "13").replace("4", "14").replace("5", "15").replace("6", "16").replace("Tom", "Eva"))]
+    got = {(r["id"], r["item"]): r for r in decontaminate.contamination(docs(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 1), (6, 1), (7, 4)}
+    assert all(r["n_found"] <= r["n_windows"] for r in got.values()) and got[1, 1]["share"] == 1.0 and got[3, 3]["share"] == 1.0
+
+
 # ------------------------------------------------------------------ 2
 def test_tokens_round_trip(spark):
     import public_tokenizers
