@@ -1,10 +1,13 @@
 """License scan (10): a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are the lines of a text.  A multinomial logistic regression over sparse word 1-, 2- and 3-grams gives each one
+Paragraphs are the lines of a text, and runs of consecutive lines (none without words) joined with white space, since published
+notices are wrapped: a run is reported if no line or shorter run within it is reported as the same family, and goes on while
+more of the template is found.  A run ends with the first line by which it holds as many words after its first line as the
+longest template.  A multinomial logistic regression over sparse word 1-, 2- and 3-grams gives each one
 probabilities of the licence families and of ``unknown``.  It is trained on paragraphs made from the templates (each template,
 parts of it, and both between words of ordinary paragraphs) and, as the unknown class, on at most ``SAMPLE`` ordinary paragraphs
-of at most ``SAMPLE_BYTES`` bytes of the corpus itself (first in a hash order; paragraphs that hold most of a template are left
-out).  Only n-grams of the templates and the most frequent ones of the sample are features.
+of at most ``SAMPLE_BYTES`` bytes of the corpus itself (first in a hash order; paragraphs that hold most of a template, or are
+mostly a part of one, are left out).  Only n-grams of the templates and the most frequent ones of the sample are features.
 
 The unknown class is calibrated on a third of the training paragraphs that the fit does not see: a temperature scales the
 logits so that their probabilities are the likeliest there.  A paragraph is reported if its most likely class is a family, with a probability of at
@@ -20,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +96,14 @@ def shingles(w: list[str]) -> set[tuple[str, ...]]:
 
 _SHAPES = {f: [shingles(words(t)) for t in ts] for f, ts in TEMPLATES.items()}
 
+_TRIPLES = set().union(*(t for ts in _SHAPES.values() for t in ts))
+_LONGEST = max(len(words(t)) for ts in TEMPLATES.values() for t in ts)
+
+
+def mostly_template(w: list[str]) -> bool:
+    own = shingles(w)
+    return len(w) >= 3 and 2 * len(own & _TRIPLES) >= len(own)
+
 
 def contained(w: list[str], family: str) -> float:
     """Largest share of a template of the family that the paragraph holds."""
@@ -176,15 +188,74 @@ def train(docs: DataFrame, text_col: str = "text") -> Classifier:
     line = F.explode(F.split(F.col(text_col).cast("string"), "\n")).alias("p")
     few = docs.select(line).where((F.length(F.trim("p")) > 0) & (F.octet_length("p") <= SAMPLE_BYTES))
     sample = [words(r["p"]) for r in hash_sample(few, F.col("p"), SAMPLE).collect()]
-    sample = [w for w in sample if w and max(contained(w, f) for f in TEMPLATES) < 0.5]
+    sample = [w for w in sample if w and max(contained(w, f) for f in TEMPLATES) < 0.5 and not mostly_template(w)]
     return fit(sample)
 
 
+def judged(w: list[str], model: Classifier) -> tuple[str, float, float] | None:
+    """(family, probability, contained) of a paragraph's words if it is a confirmed notice."""
+    found = [model.features[g] for g in grams(w) if g in model.features] if w else []
+    if not found:
+        return None
+    p = model.probabilities(found)
+    best = int(p.argmax())
+    if best and p[best] >= LEAST and (share := contained(w, FAMILIES[best])) >= CONTAINED:
+        return FAMILIES[best], float(p[best]), share
+    return None
+
+
+def notices(lines: list[list[str]], model: Classifier) -> list[tuple[int, int, str, float, float]]:
+    """(first line, last line, family, probability, contained) of the notices among the lines' words."""
+    out = [(i, i, *j) for i, w in enumerate(lines) if (j := judged(w, model))]
+    blocks, at = [], 0
+    for i in range(len(lines) + 1):
+        if i == len(lines) or not lines[i]:
+            if i - at > 1:
+                blocks.append((at, i))
+            at = i + 1
+    for a, b in blocks:
+        flat = [x for w in lines[a:b] for x in w]
+        held = set(zip(flat, flat[1:], flat[2:], strict=False)) & _TRIPLES
+        if not any(len(t & held) >= CONTAINED * len(t) for ts in _SHAPES.values() for t in ts):
+            continue
+        # lines that hold a template's words: others neither begin nor end a run
+        part = [bool(held.intersection(zip(flat[(k := max(0, n - 2)) :], flat[k + 1 :], flat[k + 2 : m + 2], strict=False))) for n, m in _spans(lines[a:b])]
+        runs = []
+        for i in range(a, b):
+            inner = 0
+            for j in range(i + 1, b) if part[i - a] else ():
+                if inner >= _LONGEST:
+                    break
+                if part[j - a]:
+                    runs.append((j - i, i, j))
+                inner += len(lines[j])
+        for _, i, j in sorted(runs):
+            w = [x for y in lines[i : j + 1] for x in y]
+            if not any(contained(w, f) >= CONTAINED for f in TEMPLATES) or not (now := judged(w, model)):
+                continue
+            if any(f == now[0] and i <= y and x <= j for x, y, f, _, _ in out):
+                continue
+            while j + 1 < b and (more := judged([x for y in lines[i : j + 2] for x in y], model)) and more[0] == now[0] and more[2] > now[2]:
+                j, now = j + 1, more
+            out.append((i, j, *now))
+    return sorted(out)
+
+
+def _spans(lines: list[list[str]]) -> list[tuple[int, int]]:
+    """Positions of the lines' words among all of them."""
+    out, at = [], 0
+    for w in lines:
+        out.append((at, at + len(w)))
+        at += len(w)
+    return out
+
+
 SCHEMA = "id long, paragraph int, start long, end long, family string, probability double, contained double"
 
 
 def detected(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, paragraph, start, end, family, probability, contained): the confirmed licence paragraphs (code points, end exclusive)."""
+    """(id, paragraph, start, end, family, probability, contained): the confirmed licence paragraphs (code points, end exclusive);
+    ``paragraph`` is the number of the first line."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # a paragraph that holds enough of a template holds every word of one of its shingles: rare ones of these must occur
     telling = frozenset(w.encode() for w in _telling())
@@ -197,18 +268,11 @@ def detected(docs: DataFrame, model: Classifier, id_col: str = "doc_id", text_co
                 low = (raw or b"").lower()
                 if not any(t in low for t in telling):
                     continue
-                at = 0
-                for number, line in enumerate(raw.decode("utf-8", "replace").split("\n")):
-                    start, at = at, at + len(line) + 1
-                    w = words(line)
-                    found = [model.features[g] for g in grams(w) if g in model.features] if w else []
-                    if not found:
-                        continue
-                    p = model.probabilities(found)
-                    best = int(p.argmax())
-                    if best and p[best] >= LEAST and (share := contained(w, FAMILIES[best])) >= CONTAINED:
-                        for column, value in zip(out, (key, number, start, start + len(line), FAMILIES[best], float(p[best]), share), strict=True):
-                            column.append(value)
+                lines = raw.decode("utf-8", "replace").split("\n")
+                starts = list(accumulate((len(line) + 1 for line in lines), initial=0))
+                for first, last, family, p, share in notices(list(map(words, lines)), model):
+                    for column, value in zip(out, (key, first, starts[first], starts[last] + len(lines[last]), family, p, share), strict=True):
+                        column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["id", "paragraph", "start", "end", "family", "probability", "contained"])
 
     return rows.mapInArrow(run, SCHEMA)

@@ -345,3 +345,31 @@ def test_licenses(spark):
     assert {k: r["family"] for k, r in got.items()} == {1: "mit", 2: "apache-2.0", 3: "all-rights-reserved", 4: "cc-by-nc"}
     assert dict(rows)[2][got[2]["start"] : got[2]["end"]] == notes[2] and got[2]["paragraph"] == 1
     assert licenses.detected(docs(spark, []), licenses.train(docs(spark, []))).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 A. Writer
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+"""
+BSD = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ *
+ * 1. Redistributions of source code must retain the above notice"""
+
+
+def test_wrapped_licenses(spark):
+    rng = random.Random(11)
+    prose = lambda n: "\n".join(" ".join(words(rng, 12)) for _ in range(n))
+    rows = [(1, MIT), (2, prose(3) + "\n" + BSD), (3, "Released under the MIT License.\n" + prose(2)), (4, prose(3) + "\nThis Source Code Form is subject\r\nto the terms of the Mozilla\r\nPublic License, v. 2.0. If a copy"),
+            (5, "Permission is hereby granted, free of charge, to any person obtaining a copy\n\nof this software and associated documentation files")]
+    rows += [(300 + i, prose(5)) for i in range(40)]
+    got = [tuple(r) for r in licenses.detected(docs(spark, rows), licenses.train(docs(spark, rows))).collect()]
+    assert sorted((r[0], r[4]) for r in got) == [(1, "mit"), (2, "bsd"), (3, "mit"), (4, "mpl-2.0")]
+    span = {r[0]: dict(rows)[r[0]][r[2] : r[3]] for r in got}
+    assert span[1] == "\n".join(MIT.split("\n")[4:6]) and span[3] == "Released under the MIT License."
+    assert span[2].startswith(" * Redistribution and use") and span[2].endswith("are met:") and "terms of the Mozilla" in span[4]
