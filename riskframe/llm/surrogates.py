@@ -13,6 +13,10 @@ Every detected entity is replaced by another value of its kind, chosen by a keye
 ``collisions`` is the check over the whole corpus: the distinct (kind, entity, surrogate) rows, grouped by surrogate; one
 surrogate for two entities, or an unchanged entity, is a collision.  ``replaced`` rewrites texts in one pass, without joins.
 
+Persons are found after a title, or as listed given names with a capitalised word behind them; each word of a name found is then
+replaced wherever the text has it, before or after.  Not found: unlisted names without title, titles of scripts other than
+Latin and Cyrillic, and mentions in other case.  Mail addresses may have any letters before the "@", but ASCII domains only.
+
 Defined results: null texts stay null, empty ones empty; texts without entities stay as they are; repeated rows are rows of
 their own; overlapping candidates: the earlier, then the longer one wins.
 """
@@ -21,7 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -29,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Characters of a label that are one number.
+LABEL = 128
 
 # Given names by script and gender, and the titles that show a gender.
 NAMES = {
@@ -38,7 +46,9 @@ NAMES = {
     ("cyrillic", "m"): "Иван Пётр Сергей Алексей Дмитрий Андрей Николай Михаил Павел Олег".split(),
 }
 TITLES = {"Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Señor": "m", "Sr": "m", "Don": "m", "Monsieur": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f",
-          "Frau": "f", "Señora": "f", "Sra": "f", "Madame": "f", "Mme": "f", "Mlle": "f", "Dr": "", "Prof": ""}
+          "Frau": "f", "Señora": "f", "Sra": "f", "Madame": "f", "Mme": "f", "Mlle": "f", "Dr": "", "Prof": "",
+          "Господин": "m", "господин": "m", "Г-н": "m", "г-н": "m", "Госпожа": "f", "госпожа": "f", "Г-жа": "f", "г-жа": "f", "Доктор": "", "доктор": "",
+          "Профессор": "", "профессор": ""}
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя"}
 CONSONANTS = {"latin": "bcdfghjklmnpqrstvwxyz", "cyrillic": "бвгджзклмнпрстфхцчшщ"}
 
@@ -51,9 +61,11 @@ NUMBERS = [
     ("card", r"(?<![\d-])\d{4}(?:(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|[ -]\d{6}[ -]\d{5})(?![\d-])"),
 ]
 _NUMBER = re.compile("|".join(f"(?P<{k}>{p})" for k, p in NUMBERS))
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*[A-Za-z0-9]$")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
-_PERSON = regex.compile(r"(?:%s)\.? \p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?" % "|".join(sorted(TITLES, key=len, reverse=True)))
+_WORD = r"\p{Lu}\p{Ll}+"
+_GIVEN = r"(?:(?:%s) )(?:(?:%s|\p{Lu}\.) )*%s" % ((_LISTED := "|".join(sorted((n for ns in NAMES.values() for n in ns), key=len, reverse=True))), _LISTED, _WORD)
+_PERSON = regex.compile(r"(?:%s)\.? (?:%s|%s(?: %s)?)|%s" % ("|".join(sorted(TITLES, key=len, reverse=True)), _GIVEN, _WORD, _WORD, _GIVEN))
+_MENTION = regex.compile(r"(?<![\p{L}\p{M}\p{N}])%s(?![\p{L}\p{M}\p{N}])" % _WORD)
 
 
 class Permutation:
@@ -114,9 +126,26 @@ def _refill(form: str, digits: str) -> str:
     return "".join(next(it) if c.isdigit() else c for c in form)
 
 
+def _lower(value: str) -> str:
+    """Letter by letter, so that lengths stay."""
+    return value.lower() if value.isascii() else "".join(low if len(low := c.lower()) == 1 else c for c in value)
+
+
+@lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """ASCII letters or digits; for other letters and digits those of their block of 64 code points whose case can be changed and back."""
+    if c.isascii():
+        return _LETTERS if c.isalpha() else _DIGITS if c.isdigit() else c
+    same = [x for x in map(chr, range(ord(c) & ~63, (ord(c) | 63) + 1))
+            if (x.isalpha(), x.isdigit()) == (c.isalpha(), c.isdigit()) and x.lower() == x and len(x.upper()) == 1 and x.upper().lower() == x]
+    return "".join(same) if c.isalnum() and c in same else c
+
+
 def _label(p: Permutation, label: str, tweak: str) -> str:
-    kinds = [_LETTERS if c.isalpha() else _DIGITS if c.isdigit() else c for c in label]
-    form = "".join("a" if k is _LETTERS else "0" if k is _DIGITS else k for k in kinds)
+    if len(label) > LABEL:  # long ones piece by piece
+        return "".join(_label(p, label[i : i + LABEL], f"{tweak}:{i}:{len(label)}") for i in range(0, len(label), LABEL))
+    kinds = [_alphabet(c) for c in label]
+    form = "".join("0" if k is _DIGITS else k[0] for k in kinds)
     return _in_alphabets(p, label, kinds, f"{tweak}:{form}")
 
 
@@ -131,7 +160,7 @@ def canonical(kind: str, value: str) -> str:
     if kind in ("phone", "card", "identity"):
         d = "".join(c for c in value if c.isdigit())
         return d[1:] if kind == "phone" and len(d) == 11 and d[0] == "1" else d
-    return value.lower() if kind == "email" else value
+    return _lower(value) if kind == "email" else value
 
 
 def _script(name: str) -> str:
@@ -149,7 +178,9 @@ def _name(p: Permutation, name: str, gender: str) -> str:
     kinds = [next((a for a in (VOWELS[script], CONSONANTS[script]) if c in a), c) for c in low]
     if script == "latin" and low[-1] == "a":
         kinds[-1] = "a"  # a feminine ending stays
-    form = "".join("v" if k == VOWELS[script] else "c" if k == CONSONANTS[script] else k for k in kinds)
+    if all(len(k) == 1 for k in kinds):  # other scripts
+        kinds = ["".join(x for x in _alphabet(c) if x not in VOWELS[script] + CONSONANTS[script]) or c for c in low]
+    form = "".join("v" if k == VOWELS[script] else "c" if k == CONSONANTS[script] else k[0] for k in kinds)
     if all(len(k) == 1 for k in kinds):
         return name
     return _in_alphabets(p, low, kinds, f"name:{script}:{form}", lambda x: x not in listed).capitalize()
@@ -157,7 +188,7 @@ def _name(p: Permutation, name: str, gender: str) -> str:
 
 def surrogate(p: Permutation, kind: str, value: str) -> str:
     if kind == "email":
-        local, _, domain = value.lower().partition("@")
+        local, _, domain = _lower(value).partition("@")
         labels = domain.split(".")
         new = _label(p, local, "local") + "@" + ".".join([*(_label(p, x, "domain") for x in labels[:-1]), labels[-1]])
         return "".join(n.upper() if o.isupper() else n for o, n in zip(value, new, strict=True))
@@ -167,9 +198,9 @@ def surrogate(p: Permutation, kind: str, value: str) -> str:
         x = p.after(((a[0] - low) << 24) | a[1] << 16 | a[2] << 8 | a[3], (high - low + 1) << 24, f"address:{low}")
         return f"{low + (x >> 24)}.{x >> 16 & 255}.{x >> 8 & 255}.{x & 255}"
     if kind == "person":
-        title, *names = value.split(" ")
-        gender = TITLES.get(title.rstrip("."), "")
-        return " ".join([title, *(_name(p, n, gender) for n in names)])
+        first, *names = value.split(" ")
+        gender = TITLES.get(first.rstrip("."))
+        return " ".join([first if gender is not None and names else _name(p, first, ""), *(_name(p, n, gender or "") for n in names)])
     digits = "".join(c for c in value if c.isdigit())
     if kind == "card":
         off = (int(digits[-1]) - luhn(digits[:-1])) % 10
@@ -190,11 +221,17 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             found += [(m.start(), m.end(), next(k for k, _ in NUMBERS if m[k]), m[0]) for m in _NUMBER.finditer(text, run.start(), run.end())]
     at = text.find("@")
     while at >= 0:
-        local, domain = _LOCAL.search(text, max(0, at - 64), at), _DOMAIN.match(text, at + 1)
-        if local and domain:
-            found.append((local.start(), domain.end(), "email", text[local.start() : domain.end()]))
+        domain = _DOMAIN.match(text, at + 1)
+        if domain and at and text[at - 1].isalnum():
+            start = at
+            while start and ((c := text[start - 1]).isalnum() or c in "._%+-" or not c.isascii() and unicodedata.category(c)[0] == "M"):
+                start -= 1
+            found.append((start, domain.end(), "email", text[start : domain.end()]))
         at = text.find("@", at + 1)
-    found += [(m.start(), m.end(), "person", m[0]) for m in _PERSON.finditer(text) if not text[max(0, m.start() - 1) : m.start()].isalnum()]
+    people = [(m.start(), m.end(), "person", m[0]) for m in _PERSON.finditer(text) if not text[max(0, m.start() - 1) : m.start()].isalnum()]
+    found += people
+    if names := {n for e in people for i, n in enumerate(e[3].split(" ")) if not n.endswith(".") and (i or n not in TITLES)}:
+        found += [(m.start(), m.end(), "person", m[0]) for m in _MENTION.finditer(text) if m[0] in names]
     out, end = [], 0
     for e in sorted(found, key=lambda e: (e[0], -e[1])):
         if e[0] >= end:

@@ -264,6 +264,23 @@ def test_surrogates_keep_form_distinctness_and_coreference(spark):
     assert surrogates.collisions(bad).count() == 1
 
 
+def test_surrogates_of_names_without_title_and_unicode_addresses():
+    p = surrogates.Permutation(b"k")
+    new = lambda t: surrogates.rewrite(t, p)[0]
+    out = new("Smith came. Mr. John Smith met Anna Schmidt; Smith left, Schmidt's dog stayed. Anna slept.")
+    assert not re.search("Smith|Schmidt|John|Anna", out) and out.endswith(" slept.") and "'s dog stayed" in out
+    (one,), (two,) = (re.findall(r"Mr\. \w+ (\w+) met", out), re.findall(r"; (\w+) left", out))
+    assert one == two == out.split()[0]
+    assert "Peter" not in (x := new("with John Peter F. Miller today")) and "Miller" not in x and x.endswith(" today")
+    assert "Иван" not in (x := new("г-н Иван Петров пришёл, Петров ушёл")) and "Петров" not in x and x.startswith("г-н ") and x.endswith(" ушёл")
+    assert "Παππας" not in (x := new("Anna Παππας wrote, Παππας left")) and x.split()[1] == x.split()[3]
+    for local in ("müller.19", "иван", "MÜLLER", "ab" * 50, "x" * 300 + "ü", "ΟΔΟΣ"):
+        (kind, entity, made), = surrogates.rewrite(f"to {local}@x.de now", p)[1]
+        assert kind == "email" and len(entity) == len(local) + 5 and made != entity and made[: len(local)] != entity[: len(local)]
+    seen = [surrogates.surrogate(p, "email", f"ü{a}{b}@x.org") for a in "àáâãäåæç" for b in "аб"]
+    assert len(set(seen)) == len(seen)
+
+
 # ------------------------------------------------------------------ 7
 def test_mix_meets_targets_and_reruns_agree(spark):
     rng = random.Random(7)
