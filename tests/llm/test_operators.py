@@ -330,6 +330,23 @@ def test_top_k_against_brute_force(spark):
     assert 2060 not in got and topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark):
+    rng = np.random.default_rng(88)
+    v = rng.normal(0, 0.15, (300, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rows = [(int(i), [float(x) for x in v[i]]) for i in range(300)]
+    rows += [(20, rows[20][1])] * 25  # a query's own copies score best
+    rows += [(40, rows[7][1]), (40, rows[60][1]), (41, rows[60][1])]  # one query on three vectors, one shared with query 60
+    rows += [(7, [0.3 * x for x in rows[i][1]]) for i in range(100, 130)] + [(9, rows[80][1])] * 3
+    got = defaultdict(list)
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0, k=6).collect():
+        got[r["query_id"]].append((r["rank"], r["id"], r["score"]))
+    full = [(k, np.floor(64 * np.array(x)).astype(int)) for k, x in rows]
+    for q in range(0, 300, 20):
+        best = sorted(((k, int(y @ x)) for i, x in full if i == q for k, y in full if k != q), key=lambda r: (-r[1], r[0]))[:6]
+        assert sorted(got[q]) == [(n + 1, *b) for n, b in enumerate(best)], q
+
+
 # ------------------------------------------------------------------ 9
 def test_secrets(spark):
     rng = random.Random(9)
