@@ -52,6 +52,11 @@ _HEAD = "<4sBB32s"
 _ENTRY = np.dtype([("id", "<i8"), ("null", "<i4"), ("length", "<u4"), ("offset", "<u8"), ("first", "<u8"), ("tokens", "<u8")])
 
 
+def _lower(word: str) -> str:
+    """Letter by letter, as the tokenizer's normaliser does: ``str.lower`` turns a last capital sigma into a final one."""
+    return "".join(map(str.lower, word)) if "Σ" in word else word.lower()
+
+
 class Encoder:
     """Ids of whole texts as little-endian bytes."""
 
@@ -97,13 +102,13 @@ class Encoder:
                     new.append(w)
         text = {w: w.decode("utf-8", "replace") for w in new}
         core = {w: t.rstrip(".,!?;:") for w, t in text.items()}
-        letters = {c.lower() for c in core.values() if c.isalpha() and c.lower().isalpha()}
+        letters = {low for c in core.values() if c.isalpha() and (low := _lower(c)).isalpha()}
         tails = {t[len(core[w]):] for w, t in text.items()} - {""}
         whole = [c for c in letters]
         known = dict(zip(whole, self._plain(whole), strict=True)) | dict(zip(tails, self._single(list(tails)), strict=True))
         rest = []
         for w in new:
-            c = core[w].lower()
+            c = _lower(core[w])
             if core[w].isalpha() and c in known:
                 young[w] = known[c] + known.get(text[w][len(core[w]):], b"")
             else:

@@ -112,6 +112,17 @@ def test_tokens_round_trip(spark):
     assert tokens.read_digests(spark, empty).count() == 0
 
 
+def test_tokens_of_greek_capitals_equal_whole_text_encoding():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
+    texts = ["ΟΔΟΣ", "ΟΔΟΣ, η ΟΔΟΣ. Σ ΑΣ! οδός ΟΔΟΣΑ ΣΑΣ? ςΣ", "Word ΆΛΛΟΣ-ΕΝΑΣ İΣ"]
+    encoder = tokens.Encoder(tokens.TOKENIZER)
+    got = [np.frombuffer(x, dtype=encoder.dtype).tolist() for x in encoder.encode([x.encode() for x in texts])]
+    assert got == [[*t.encode(x, add_special_tokens=False).ids, tokens.END] for x in texts]
+
+
 # ------------------------------------------------------------------ 3
 def test_warc_round_trip(spark):
     big, rng = "x" * 1000, random.Random(3)
