@@ -25,6 +25,7 @@ each; an empty table gives none; extra columns are ignored.  Ids outside the tab
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -79,6 +80,17 @@ def class_differences() -> dict[int, str]:
     return {ord(c): theirs.get(c, _OTHER) for c in every if theirs.get(c) != ours.get(c)}
 
 
+def _ranges(points) -> str:
+    """A regular expression's character ranges of these code points."""
+    out: list[list[int]] = []
+    for c in sorted(points):
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
 def splitter(differences: dict[int, str], pattern: str | None = None) -> Callable[[str], list[str]]:
     import public_tokenizers
     import regex
@@ -86,10 +98,16 @@ def splitter(differences: dict[int, str], pattern: str | None = None) -> Callabl
     cut = regex.compile(pattern or public_tokenizers.PATTERN)
     if not differences:
         return cut.findall
-    odd = regex.compile("[" + "".join(map(regex.escape, map(chr, sorted(differences)))) + "]")
+    # ranges, the astral ones apart, so that ordinary texts are searched by a bitmap and one comparison a character
+    low, high = _ranges(c for c in differences if c < 0x10000), _ranges(c for c in differences if c >= 0x10000)
+    tests = [re.compile(f"[{low}]")] if low else []
+    astral, odd_astral = re.compile("[\U00010000-\U0010ffff]"), re.compile(f"[{high}]") if high else None
+
+    def odd(text: str) -> bool:
+        return any(t.search(text) for t in tests) or (odd_astral is not None and astral.search(text) is not None and odd_astral.search(text) is not None)
 
     def pieces(text: str) -> list[str]:
-        if text.isascii() or odd.search(text) is None:
+        if text.isascii() or not odd(text):
             return cut.findall(text)
         return [text[m.start() : m.end()] for m in cut.finditer(text.translate(differences))]
 
