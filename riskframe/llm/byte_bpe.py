@@ -5,7 +5,8 @@ Encoding
    block of at most ``BLOCK_CHARS`` characters (one longer document is a block of its own).  A pre-token becomes its
    place in the block's list of distinct words, so positions stay with the documents (pages of ``PAGE`` pre-tokens)
    and only the distinct words of every block travel: a word that a third of all text consists of is one entry a block.
-   The cut is written to the shared folder, so later steps see one and the same numbering whatever is lost.
+   The cut is written to the shared folder, so later steps see one and the same numbering whatever is lost, bucketed by
+   block, so that the pages (most of it) are never shuffled.
 2. *Shuffle by word.* The words of all blocks meet in hash buckets; the number of buckets grows with the text
    (``BUCKET_BYTES`` each).  A bucket is read in order and encodes each distinct word once.
 3. *Join back and reassemble.* The ids return to their blocks (co-grouped with its pages) and are laid out by position.
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from riskframe.llm.store import written
+from riskframe.llm.store import bucketed
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a block, pre-tokens of a page, and bytes of text for each bucket of words.
@@ -278,7 +279,8 @@ def _bytes_of(table: dict[bytes, int]) -> list[bytes | None]:
 def _encoded(docs: DataFrame, id_col: str, text_col: str, table: dict[bytes, int], finish, names: list[str], types: list[pa.DataType], schema: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cut = written(rows.mapInArrow(_exploded(-(-total // BUCKET_BYTES) + 1, class_differences()), "block long, bucket int, ids array<long>, data binary"), "pieces")
+    pieces = rows.mapInArrow(_exploded(-(-total // BUCKET_BYTES) + 1, class_differences()), "block long, bucket int, ids array<long>, data binary")
+    cut = bucketed(pieces, "pieces", "block", -(-total // BLOCK_CHARS) + 1)
     words = cut.where("bucket >= 0").select("block", "bucket", "data").repartition("bucket").sortWithinPartitions("bucket")
     ids = words.mapInArrow(_ids_of_words(table), "block long, data binary")
     pages = cut.where("bucket < 0").select("block", "ids", "data")
