@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, decontaminate, licenses, minhash_join, mixing, secret_scan, surrogates, tokens, topk, toxicity, warc
+from riskframe.llm import byte_bpe, decontaminate, licenses, minhash_join, mixing, secret_scan, surrogates, tokens, topk, toxicity, warc, whitening
 from riskframe.llm.store import scratch, table, written
 from riskframe.llm.words import sized
 
@@ -82,8 +82,12 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digested(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_token_files, op3_warc, op4_toxicity, op5_near_duplicates, op6_surrogates, op7_mix, op8_top_k, op9_secrets, op10_licenses,
-                                  op11_byte_bpe)}
+                                  op11_byte_bpe, op12_whitening)}
 
 #: DuckDB SQL of the operators that SQL can express.
 ORACLE: dict[str, str] = {
