@@ -114,12 +114,12 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WITH t AS (
     SELECT conv_id AS c, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 p AS (
-    SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM t),
+    SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(CAST(strlen(role) AS VARCHAR) || ':' || role || text)) - 1 AS pos FROM t),
 ids AS (
     SELECT c, c - c % 5 AS base,
            xor(list_reduce(list_prepend(4294967295, [ord(x) FOR x IN string_split(CAST(c AS VARCHAR), '')]),
-               (crc, b) -> list_reduce([xor(crc, CAST(b AS BIGINT)), 0, 0, 0, 0, 0, 0, 0, 0],
-                   (a, z) -> CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)), 4294967295) % 9 AS h
+               lambda crc, b: list_reduce([xor(crc, CAST(b AS BIGINT)), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda a, z: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)), 4294967295) % 9 AS h
     FROM (SELECT DISTINCT c FROM t) d),
 r AS (
     SELECT ids.c, 0 AS part, p.pos, p.role, p.text FROM ids JOIN p ON p.c = ids.base AND p.pos < ids.h
