@@ -9,7 +9,7 @@ The index finds a short document without reading its neighbours (``read_document
 before any frame is read.  The dictionary is trained on the serialized ids of at most ``SAMPLE`` documents of at most
 ``SAMPLE_BYTES`` bytes of text (the smallest hashes of the texts); its size is at most ``DICTIONARY``.
 
-Encoding: the tokenizers library encodes words.  A vocabulary that drops white space (as the default one does) cuts at
+Encoding: the tokenizers library encodes words (those of plain letters and marks piece by piece, by its model alone).  A vocabulary that drops white space (as the default one does) cuts at
 all ASCII white space, so a document's ids are those of its words one after the other, and a bounded cache of words
 saves most of the work; the tests compare with whole-text encoding.  ``END`` is appended to every document.
 
@@ -19,13 +19,17 @@ a hash of their text; an empty table makes no rows.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
+import json
 import os
+import re
 import struct
+import sys
 import zlib
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +38,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import EMPTY_FRAME, hash_sample, read_files, skippable, write_frames
-from riskframe.llm.words import text_bytes
+from riskframe.llm.store import EMPTY_FRAME, hash_sample, read_files, skippable, write_frames, written
+from riskframe.llm.words import released, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
@@ -46,17 +50,23 @@ LEVEL = 3
 #: Text bytes of a shard.
 SHARD_BYTES = 24 << 20
 #: Words that one task keeps the ids of.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 HEADER, FOOTER = 0x184D2A5E, 0x184D2A5F
+# How the default vocabulary normalises and cuts words, and how it writes bytes as characters.  Words of old and
+# unaccented or precomposed Latin and Cyrillic characters are cut here, so that a piece is encoded once; all others, and
+# all words of other vocabularies, are cut by the library.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_KNOWN = ["NFC", "Replace", "Lowercase", ("Split", _PATTERN), ("ByteLevel", None)]
+#: The same cut for ``_SIMPLE`` characters, whose numbers are the ten digits.
+_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+_SIMPLE = re.compile("[!-~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u0148\u014a-\u024f\u0400-\u045f]+").fullmatch
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in _PRINTED]
+_BYTE_LEVEL = "".join(chr(b if b in _PRINTED else 256 + _OTHERS.index(b)) for b in range(256))
 _HEAD = "<4sBB32s"
 _ENTRY = np.dtype([("id", "<i8"), ("null", "<i4"), ("length", "<u4"), ("offset", "<u8"), ("first", "<u8"), ("tokens", "<u8")])
 
 
-def _lower(word: str) -> str:
-    """Letter by letter, as the tokenizer's normaliser does: ``str.lower`` turns a last capital sigma into a final one."""
-    return "".join(map(str.lower, word)) if "Σ" in word else word.lower()
-
-
 class Encoder:
     """Ids of whole texts as little-endian bytes."""
 
@@ -71,73 +81,66 @@ class Encoder:
         self.end = np.array([END], dtype=self.dtype).tobytes()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.closes = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
-        for token, i in vocab.items():
-            self.closes[i] = token.endswith("</w>")
-
-    def _plain(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only, all encoded as one text: the tokens that close a word tell them apart."""
-        if not words:
-            return []
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype=self.dtype)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words):  # a word that the vocabulary cuts otherwise
-            return self._single(words)
-        raw, width = ids.tobytes(), self.dtype.itemsize
-        cuts = [0, *(ends * width).tolist()]
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        parts = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"].lower() for t in parts["added_tokens"]]
+        self.added_bytes = [a.encode() for a in self.added]
+        self.simple = (sys.byteorder == "little" and self.dtype.itemsize == 2 and _KNOWN == [
+            *(n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])), *((t["type"], t.get("pattern", {}).get("Regex")) for t in (parts["pre_tokenizer"] or {}).get("pretokenizers", []))])
 
     def _single(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
         """Make sure that ``young`` holds every one of these words."""
-        new, young, old = [], self.young, self.old
-        for w in words:
-            if w not in young:
-                if (v := old.get(w)) is not None:
-                    young[w] = v
-                else:
-                    new.append(w)
-        text = {w: w.decode("utf-8", "replace") for w in new}
-        core = {w: t.rstrip(".,!?;:") for w, t in text.items()}
-        letters = {low for c in core.values() if c.isalpha() and (low := _lower(c)).isalpha()}
-        tails = {t[len(core[w]):] for w, t in text.items()} - {""}
-        whole = [c for c in letters]
-        known = dict(zip(whole, self._plain(whole), strict=True)) | dict(zip(tails, self._single(list(tails)), strict=True))
-        rest = []
-        for w in new:
-            c = _lower(core[w])
-            if core[w].isalpha() and c in known:
-                young[w] = known[c] + known.get(text[w][len(core[w]):], b"")
-            else:
-                rest.append(w)
-        for w, v in zip(rest, self._single([text[w] for w in rest]), strict=True):
-            young[w] = v
+        young, old, tokenize = self.young, self.old, self.tokenizer.model.tokenize
+        known = words & old.keys()
+        young.update(zip(known, map(old.__getitem__, known), strict=True))
+        new, rest = list(words - known), []
+        texts = b"\n".join(new).decode("utf-8", "replace").split("\n") if new else []
+        for w, t in zip(new, texts, strict=True):
+            if w in young:
+                continue
+            if not self.simple or not (w.isalpha() or _SIMPLE(t)) or ("<" in t and any(a in t.lower() for a in self.added)):
+                rest.append((w, t))
+                continue
+            ids = []
+            for piece in (t.lower(),) if w.isalpha() else _CUT.findall(t.lower()):
+                key = piece.encode()
+                one = young.get(key) or old.get(key)
+                if one is None:
+                    shown = piece if piece.isascii() else codecs.charmap_decode(key, "strict", _BYTE_LEVEL)[0]
+                    one = young[key] = array("H", [t.id for t in tokenize(shown)]).tobytes()
+                ids.append(one)
+            young[w] = b"".join(ids)
+        if rest:
+            young.update(zip([w for w, _ in rest], self._single([t for _, t in rest]), strict=True))
+
+    def _words(self, text: bytes) -> list[bytes]:
+        """Words of a text.  ASCII letters are lowered as the tokenizer would; not where that could make one of its own tokens,
+        or where a mark may join a capital letter to another character than the small one (marks from U+0300 to
+        U+037F start with the bytes CC and CD)."""
+        low = text.lower()
+        if b"\xcc" in text or b"\xcd" in text or any(a in low for a in self.added_bytes):
+            return text.split()
+        return low.split()
 
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         for at in range(0, len(texts), 256):
-            split = [(t or b"").split() for t in texts[at : at + 256]]
+            split = [self._words(t) if t else [] for t in texts[at : at + 256]]
             if len(self.young) > CACHE_WORDS:
                 self.old, self.young = self.young, {}
-            self.learn({w for s in split for w in s})
-            get = self.young.__getitem__
+            young = self.young
+            self.learn({w for s in split for w in s if w not in young})
             for s in split:
-                yield b"".join(map(get, s)) + self.end
-
-
-@lru_cache(maxsize=1)
-def encoder_of(tokenizer: str) -> Encoder:
-    """One encoder per Python worker: its vocabulary and words serve all tasks that the worker runs."""
-    return Encoder(tokenizer)
+                yield b"".join(map(young.__getitem__, s)) + self.end
 
 
 def _ids(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(list(encoder.encode(text_bytes(batch.column(0)))), pa.binary())], names=["ids"])
+        with released():
+            encoder = Encoder(tokenizer)
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(list(encoder.encode(text_bytes(batch.column(0)))), pa.binary())], names=["ids"])
 
     return run
 
@@ -156,29 +159,30 @@ def train_dictionary(rows: DataFrame, tokenizer: str) -> bytes:
 
 def _shards(tokenizer: str, dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(tokenizer)
-        width = encoder.dtype.itemsize
-        zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        if zd:
-            zd.precompute_compress(level=LEVEL)
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zd)
-        header = skippable(struct.pack(_HEAD, b"TOKS", 1, width, hashlib.sha256(dictionary).digest()) + dictionary, HEADER)
-        at, first, index = len(header) + len(EMPTY_FRAME), 0, []
-        out = [header]
-        for batch in batches:
-            keys = batch.column(0).to_pylist()
-            texts = text_bytes(batch.column(1))
-            for key, raw in zip(keys, encoder.encode(texts), strict=True):
-                frame = press.compress(raw)
-                index.append((key or 0, key is None, len(frame), at, first, len(raw) // width))
-                at, first = at + len(frame) + len(EMPTY_FRAME), first + len(raw) // width
-                out.append(frame)
-                if len(out) >= 512:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-                    out = []
-        if index:
-            out.append(skippable(np.array(index, dtype=_ENTRY).tobytes() + struct.pack("<Q", len(index)), FOOTER))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+        with released():
+            encoder = Encoder(tokenizer)
+            width = encoder.dtype.itemsize
+            zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+            if zd:
+                zd.precompute_compress(level=LEVEL)
+            press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zd)
+            header = skippable(struct.pack(_HEAD, b"TOKS", 1, width, hashlib.sha256(dictionary).digest()) + dictionary, HEADER)
+            at, first, index = len(header) + len(EMPTY_FRAME), 0, []
+            out = [header]
+            for batch in batches:
+                keys = batch.column(0).to_pylist()
+                texts = text_bytes(batch.column(1))
+                for key, raw in zip(keys, encoder.encode(texts), strict=True):
+                    frame = press.compress(raw)
+                    index.append((key or 0, key is None, len(frame), at, first, len(raw) // width))
+                    at, first = at + len(frame) + len(EMPTY_FRAME), first + len(raw) // width
+                    out.append(frame)
+                    if len(out) >= 512:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+                        out = []
+            if index:
+                out.append(skippable(np.array(index, dtype=_ENTRY).tobytes() + struct.pack("<Q", len(index)), FOOTER))
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
     return run
 
@@ -233,18 +237,10 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["path", "id", "first", "n_tokens", "ids_crc32"])
 
 
-def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            f = TokenFile(content.as_py())
-            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([int(f.index["tokens"].sum())], pa.int64())], names=["path", "tokens"])
-
-
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) of every document in the files below ``path``."""
-    files = read_files(spark, path)
+    """(id, start, n_tokens, ids_crc32) of every document in the files below ``path``; every file is read once."""
+    rows = written(read_files(spark, path).mapInArrow(_digests, "path string, id long, first long, n_tokens long, ids_crc32 long"), "digests")
     # one row per file; file names carry the shard number, so their order is the order of the shards
     before = F.coalesce(F.sum("tokens").over(W.orderBy("path").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    shards = files.mapInArrow(_totals, "path string, tokens long").select("path", before.alias("before"))
-    rows = files.mapInArrow(_digests, "path string, id long, first long, n_tokens long, ids_crc32 long")
+    shards = rows.groupBy("path").agg(F.sum("n_tokens").alias("tokens")).select("path", before.alias("before"))
     return rows.join(shards, "path").select("id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
