@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import written
+from riskframe.llm.store import dropped, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -35,6 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
         if tuple(seen) == before:
             break
         before = tuple(seen)
-        current = written(_star(_star(current, large=True), large=False), "edges")
+        after = written(_star(_star(current, large=True), large=False), "edges")
+        dropped(current)
+        current = after
     stars = current.select(F.col("b").alias("node"), F.col("a").alias("component"))
     return stars.union(current.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())

@@ -13,7 +13,7 @@ Method
 * Next to the signature a sketch holds one byte for each of ``BINS`` ranges of hash values: of the smallest member there.
   Bins that differ witness different members of the symmetric difference, so more of them than a pair of these sizes
   may have at the similarity rule the pair out for certain; for large sets the share of differing bins is tested
-  as well, 4.5 standard deviations above its mean.
+  as well, ``SURE`` standard deviations above its mean (a link lies beyond with probability below 1e-11).
 * Identical sets are one node.  Pairs come out of shared keys in three steps that lose no link between different sets
   and never emit all pairs of a group: every node against the smallest node of each of its keys (the best is
   verified on the full sets); then every node against its nearest partner in another component; at last only keys that
@@ -33,10 +33,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskframe.llm.graph import components
-from riskframe.llm.store import written
+from riskframe.llm.store import dropped, written
 from riskframe.llm.words import hashes, mixed, shingles, text_bytes, word_hash_cache
 
 SHINGLE = 5
@@ -47,6 +48,8 @@ MAX_DISTANCE = 31
 #: Members of a key that are compared with each other in one go.
 BLOCK = 2048
 
+#: Standard deviations that the share of differing bins may lie above its mean.
+SURE = 7
 #: Ranges of hash values in the sketch.
 BINS = 256
 
@@ -101,7 +104,7 @@ def near(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     may &= bins <= total - 2 * -(-PERCENT * total // (100 + PERCENT))
     used = ((a["sketch"] | b["sketch"]) != 0).sum(axis=1)
     share = 1 - PERCENT / 100
-    may &= bins <= share * used + 4.5 * np.sqrt(share * (1 - share) * used) + 1
+    may &= bins <= share * used + SURE * np.sqrt(share * (1 - share) * used) + 1
     return may, bins, differs
 
 
@@ -214,7 +217,9 @@ def _confirm(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     t = written(texts.join(involved, "node", "left_semi"), f"{name}-texts")
     full = (pairs.join(t.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
             .join(t.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
-    return written(full.mapInArrow(_verified, "a long, b long").distinct(), f"{name}-links")
+    links = written(full.mapInArrow(_verified, "a long, b long").distinct(), f"{name}-links")
+    dropped(t)
+    return links
 
 
 def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -262,18 +267,25 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     # One node per distinct set: its smallest id.
     sets = signed.where("n_shingles > 0 and id is not null").groupBy("lo", "hi").agg(F.min("id").alias("node"))
-    named = signed.select("id", "n_shingles", "lo", "hi").join(sets, ["lo", "hi"], "left")
-    nodes = written(signed.join(sets, ["lo", "hi"]).where("node = id").select("node", "sig"), "nodes")
+    named = written(signed.select("id", "n_shingles", "lo", "hi").join(sets, ["lo", "hi"], "left").select("id", "n_shingles", "node"), "named")
+    # by id, which no group of copies shares; repeated rows of an id with the same set are one
+    least = sets.select(F.col("node").alias("id"), "lo", "hi", "node")
+    nodes = written(signed.join(least, ["id", "lo", "hi"]).groupBy("node", "lo", "hi").agg(F.first("sig").alias("sig")).select("node", "sig"), "nodes")
+    dropped(signed)
     texts = rows.where("id is not null").select(F.col("id").alias("node"), "text")
 
-    keys = nodes.mapInArrow(_keyed, "node long, key long")
-    shared = keys.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).where("n > 1")
-    members = written(keys.join(shared, "key"), "members")
+    # one exchange of the keys: both figures of a key are taken where its members meet
+    group = W.partitionBy("key")
+    keys = nodes.mapInArrow(_keyed, "node long, key long").select("key", "node", F.min("node").over(group).alias("least"), F.count("*").over(group).alias("n"))
+    members = written(keys.where("n > 1"), "members")
 
     stars = members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     chosen = _near(stars, nodes).groupBy("b").agg(F.min(F.struct("bins", "a")).alias("x")).select("x.a", "b")
     label = written(components(_confirm(chosen, texts, "star")), "components")
     for best in (True, False):
-        label = _merged(label, _confirm(written(_across(members, label, nodes, best), "across"), texts, "across"))
+        pairs = written(_across(members, label, nodes, best), "across")
+        links = _confirm(pairs, texts, "across")
+        dropped(pairs)
+        label = _merged(label, links)
     return (named.join(label, "node", "left")
             .select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.coalesce("component", "node", "id")).alias("component")))

@@ -52,7 +52,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     with small_batches(df.sparkSession):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` made.  Only for those that nothing reads any more, lost tasks included: whatever was made of
+    them must be written itself."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bucketed(df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
