@@ -46,11 +46,11 @@ END = 2
 SAMPLE = 2000
 SAMPLE_BYTES = 1 << 15
 DICTIONARY = 1 << 16
-LEVEL = 3
+LEVEL = 2
 #: Text bytes of a shard.
 SHARD_BYTES = 24 << 20
 #: Words that one task keeps the ids of.
-CACHE_WORDS = 150_000
+CACHE_WORDS = 200_000
 HEADER, FOOTER = 0x184D2A5E, 0x184D2A5F
 # How the default vocabulary normalises and cuts words, and how it writes bytes as characters.  Words of old and
 # unaccented or precomposed Latin and Cyrillic characters are cut here, so that a piece is encoded once; all others, and
