@@ -269,8 +269,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     sets = signed.where("n_shingles > 0 and id is not null").groupBy("lo", "hi").agg(F.min("id").alias("node"))
     named = written(signed.select("id", "n_shingles", "lo", "hi").join(sets, ["lo", "hi"], "left").select("id", "n_shingles", "node"), "named")
     # by id, which no group of copies shares; repeated rows of an id with the same set are one
-    least = sets.select(F.col("node").alias("id"), "lo", "hi", "node")
-    nodes = written(signed.join(least, ["id", "lo", "hi"]).groupBy("node", "lo", "hi").agg(F.first("sig").alias("sig")).select("node", "sig"), "nodes")
+    least = sets.select(F.col("node").alias("id"), "lo", "hi")
+    nodes = written(signed.join(least, ["id", "lo", "hi"]).groupBy("id", "lo", "hi").agg(F.first("sig").alias("sig")).select(F.col("id").alias("node"), "sig"), "nodes")
     dropped(signed)
     texts = rows.where("id is not null").select(F.col("id").alias("node"), "text")
 
