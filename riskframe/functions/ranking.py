@@ -137,56 +137,92 @@ def value_histogram(df: DataFrame, cols: Sequence[str], cast: str = "double") ->
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (position (n-1)p, as pandas
-    ``quantile`` and DuckDB ``quantile_cont``) for many columns in one plan.
-
-    Memory per task is bounded: values are histogrammed (hot values collapse), ranked by
-    ``running_totals`` over approximate-quantile buckets, and only the rows holding the
-    target positions are kept.  Returns (column, prob, value)."""
-    spark = df.sparkSession
-    cols = list(cols)
-    n_buckets = n_buckets or default_buckets(spark)
-    hist = value_histogram(df, cols)
-    # one small job: per-column counts and approximate bucket bounds
-    bprobs = [i / n_buckets for i in range(1, n_buckets)]
-    stats = hist.groupBy("column").agg(
-        F.sum("cnt").alias("n"),
-        F.percentile_approx("value", bprobs, 10000).alias("b") if bprobs else F.lit(None).alias("b"),
-    ).collect()
-    n_by_col = {r["column"]: int(r["n"]) for r in stats}
-    bounds = {r["column"]: sorted(set(x for x in (r["b"] or []) if x is not None)) for r in stats}
-    targets = []
-    for c in cols:
-        n = n_by_col.get(c, 0)
-        for p in probs:
-            if n == 0:
-                targets.append((c, float(p), None, None, None))
-                continue
-            h = (n - 1) * float(p)
-            lo = int(h // 1)
-            hi = min(lo + 1, n - 1) if h > lo else lo
-            targets.append((c, float(p), lo, hi, h - lo))
-    tdf = spark.createDataFrame(targets, "column string, prob double, lo long, hi long, frac double")
-    hb = hist.withColumn("_bkt", grouped_bucket("value", bounds, "column"))
-    cum = running_totals(hb, ["cnt"], ["value"], "_bkt", ["column"], offsets_rows_bound=len(cols) * n_buckets)
-    cum = cum.withColumn("_prev", F.col("cum_cnt") - F.col("cnt"))
-    t = F.broadcast(tdf.alias("t"))  # bounded: columns x probs rows
-    h = cum.alias("h")
-    hit_lo = (F.col("h._prev") <= F.col("t.lo")) & (F.col("t.lo") < F.col("h.cum_cnt"))
-    hit_hi = (F.col("h._prev") <= F.col("t.hi")) & (F.col("t.hi") < F.col("h.cum_cnt"))
-    j = h.join(t, (F.col("h.column") == F.col("t.column")) & (hit_lo | hit_hi), "inner").select(
-        F.col("t.column").alias("column"), F.col("t.prob").alias("prob"), F.col("t.frac").alias("frac"),
-        F.when(hit_lo, F.col("h.value")).alias("v_lo"), F.when(hit_hi, F.col("h.value")).alias("v_hi"),
-    )
-    got = j.groupBy("column", "prob").agg(
-        F.max("v_lo").alias("v_lo"), F.max("v_hi").alias("v_hi"), F.max("frac").alias("frac")
-    )
-    res = t.select(F.col("t.column").alias("column"), F.col("t.prob").alias("prob")).join(got, ["column", "prob"], "left")
-    return res.select(
-        "column", "prob",
-        (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"),
-    )
+#: Relative accuracy of the approximate pass, and values inside a bracket that are ranked rather than bracketed again.
+BRACKET_ACCURACY = 2000
+BRACKET_ROWS = 200_000
+
+
+def present(c: str) -> Column:
+    """The column as double; null and NaN are missing."""
+    v = F.col(c).cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+class _Bracket:
+    """Where the order statistics ``first`` .. ``last`` (from 0) of a column lie: ``below`` values are smaller than ``lo``,
+    ``inside`` lie in [lo, hi]."""
+
+    def __init__(self, column: str, prob: float, n: int, lo: float, hi: float):
+        h = (n - 1) * prob
+        self.column, self.prob, self.first, self.below, self.inside = column, prob, int(h // 1), 0, n
+        self.frac = h - self.first
+        self.last = self.first + 1 if self.frac > 0 else self.first
+        self.lo, self.hi, self.found = lo, hi, {}
+
+    def within(self) -> Column:
+        v = present(self.column)
+        return F.when((v >= F.lit(self.lo)) & (v <= F.lit(self.hi)), v)
+
+    def settled(self) -> bool:
+        return self.lo == self.hi
+
+    def value(self) -> float:
+        a = self.lo if self.settled() else self.found[self.first]
+        b = self.lo if self.settled() else self.found[self.last]
+        return a + self.frac * (b - a)
+
+
+def _narrowed(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """One approximate pass for narrower brackets and one pass that counts below and inside them; a bracket that would miss
+    its order statistics (an estimate farther off than its accuracy) is left as it was."""
+    probs = []
+    for b in brackets:
+        ends = [(b.first - b.below) / b.inside - 2 / BRACKET_ACCURACY, (b.last - b.below + 1) / b.inside + 2 / BRACKET_ACCURACY]
+        probs.append([min(max(e, 0.0), 1.0) for e in ends])
+    row = df.agg(*[F.percentile_approx(b.within(), p, BRACKET_ACCURACY).alias(f"p{i}") for i, (b, p) in enumerate(zip(brackets, probs, strict=True))]).first()
+    tries = [(b.lo if p[0] == 0 else row[f"p{i}"][0], b.hi if p[1] == 1 else row[f"p{i}"][1]) for i, (b, p) in enumerate(zip(brackets, probs, strict=True))]
+    counts = []
+    for i, (b, (lo, hi)) in enumerate(zip(brackets, tries, strict=True)):
+        v = present(b.column)
+        counts += [F.count_if(v < F.lit(lo)).alias(f"b{i}"), F.count_if((v >= F.lit(lo)) & (v <= F.lit(hi))).alias(f"n{i}")]
+    row = df.agg(*counts).first()
+    for i, (b, (lo, hi)) in enumerate(zip(brackets, tries, strict=True)):
+        below, inside = int(row[f"b{i}"]), int(row[f"n{i}"])
+        if below <= b.first and b.last < below + inside:
+            b.lo, b.hi, b.below, b.inside = lo, hi, below, inside
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation (position (n-1)p, as pandas ``quantile`` and DuckDB ``quantile_cont``) for
+    many columns; null and NaN are missing.  Returns (column, prob, value), null for columns without values.
+
+    Selection by brackets: an approximate pass with known rank error gives a lower and an upper value around every
+    quantile, a counting pass proves that the wanted order statistics lie between them, and only the values inside are
+    ranked.  Both passes are plain aggregates without a shuffle of rows.  Brackets that still hold more than
+    ``BRACKET_ROWS`` values are narrowed again; one that closes on a single (hot) value is done.  ``df`` is read three
+    times as a rule: persist it if it is costly to compute."""
+    spark, cols = df.sparkSession, list(dict.fromkeys(cols))
+    schema = "column string, prob double, value double"
+    if not cols or not probs:
+        return spark.createDataFrame([], schema)
+    ends = df.agg(*[f(present(c)).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    brackets = [_Bracket(c, float(p), int(ends[f"n{i}"]), ends[f"lo{i}"], ends[f"hi{i}"]) for i, c in enumerate(cols) if ends[f"n{i}"] for p in probs]
+    while open_ := [b for b in brackets if not b.settled() and b.inside > BRACKET_ROWS]:
+        before = [(b.lo, b.hi) for b in open_]
+        _narrowed(df, open_)
+        if before == [(b.lo, b.hi) for b in open_]:  # no narrower by estimates: their values are ranked as they are
+            break
+    left = [b for b in brackets if not b.settled()]
+    if left:
+        values = [F.struct(F.lit(i).alias("b"), b.within().alias("value")) for i, b in enumerate(left)]
+        held = df.select(F.inline(F.array(*values))).where("value is not null").groupBy("b", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        upto = F.sum("cnt").over(Window.partitionBy("b").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        wanted = F.element_at(F.array(*[F.array(*[F.lit(k - b.below).cast("long") for k in (b.first, b.last)]) for b in left]), F.col("b") + 1)
+        hits = held.withColumn("upto", upto).withColumn("k", F.explode(F.array_distinct(wanted))).where("k < upto and k >= upto - cnt")
+        for r in hits.select("b", "k", "value").collect():  # two rows for each column and quantile at most
+            left[r["b"]].found[r["k"] + left[r["b"]].below] = r["value"]
+    done = {(b.column, b.prob): b.value() for b in brackets}
+    return spark.createDataFrame([(c, float(p), done.get((c, float(p)))) for c in cols for p in probs], schema)
 
 
 def quantile_dict(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:

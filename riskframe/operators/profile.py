@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from riskframe.functions.ranking import exact_quantiles
+from riskframe.functions.ranking import exact_quantiles, present
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -42,10 +42,10 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A4: count, mean, sample sd, min, exact quartiles, max per column (long)."""
+    """A4: count, mean, sample sd, min, exact quartiles, max per column (long); null and NaN are missing."""
     cols = list(cols)
     moments = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols
+        F.struct(F.lit(c).alias("column"), present(c).alias("v")) for c in cols
     ]))).groupBy("column").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"), F.max("v").alias("max"),
@@ -57,8 +57,9 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """A5: (column, n_null) for columns with at least one null."""
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """A5: (column, n_null) for columns with at least one null; NaN counts as null."""
+    missing = {c: F.col(c).isNull() | (F.isnan(c) if t in ("float", "double") else F.lit(False)) for c, t in df.dtypes}
+    agg = df.agg(*[F.count_if(missing[c]).alias(c) for c in df.columns])
     structs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("n_null")) for c in df.columns]
     return agg.select(F.inline(F.array(*structs))).where(F.col("n_null") > 0)
 

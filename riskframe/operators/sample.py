@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from riskframe.functions.exprs import lookup, md5_bucket, md5_uniform, seeded_md5
 from riskframe.functions.ranking import hash_rank
-from riskframe.session import cut_lineage
+from riskframe.operators.neighbours import knn
 
 
 # ------------------------------------------------------------------ quotas ---
@@ -109,74 +109,6 @@ def balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> D
     return df.withColumn(weight_col, lookup(F.col(label), w).cast("double"))
 
 
-# ------------------------------------------------------------------ R5 -------
-def _dist2(a: Column, b: Column) -> Column:
-    sq = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.aggregate(sq, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def knn(points: DataFrame, key: str, vec: str, k: int = 5, max_rounds: int = 12,
-        cell_target: int = 32) -> DataFrame:
-    """Exact k nearest neighbours (Euclidean, ties by neighbour key) of every point
-    among the other points.  Output (key, j, nb_key, dist2), j = 1..k.
-
-    Grid search with a certificate instead of all pairs: points are put in square cells
-    of width w over the two highest-variance coordinates; each query joins only the 3x3
-    neighbouring cells (an equi-join on exploded cell ids).  If its k-th candidate is
-    within w, nothing outside the neighbourhood can be closer (it differs by more than w
-    in a projected coordinate), so the answer is exact.  Uncertified queries go to the
-    next round with a 4x wider cell; once a cell spans the whole projected range the
-    neighbourhood holds every point, so the last round is exact by completeness."""
-    pts = points.select(F.col(key).alias("_k"), F.col(vec).alias("_v"))
-    dim = len(pts.first()["_v"] or []) if not pts.isEmpty() else 0
-    if dim == 0:
-        return points.sparkSession.createDataFrame([], "key long, j int, nb_key long, dist2 double") \
-            .withColumnRenamed("key", key)
-    # one aggregation: per-coordinate variance and range (d values: bounded)
-    stats = pts.select(F.posexplode("_v").alias("i", "x")).groupBy("i").agg(
-        F.var_pop("x").alias("var"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
-    top = sorted(stats, key=lambda r: (-(r["var"] or 0.0), r["i"]))[: min(2, dim)]
-    axes = [int(r["i"]) for r in top]
-    span = max(((r["mx"] or 0.0) - (r["mn"] or 0.0)) for r in top) or 1.0
-    n = pts.count()
-    cells_wanted = max(1.0, n / float(cell_target))
-    w = span / max(1.0, cells_wanted ** (1.0 / len(axes)))
-    coords = [F.element_at("_v", a + 1) for a in axes]
-
-    results = []
-    queries = pts
-    for rnd in range(max_rounds):
-        if rnd == max_rounds - 1:
-            w = max(w, span)
-        complete = w >= span  # 3x3 neighbourhood covers every point
-        cell = [F.floor(c / F.lit(w)).cast("long") for c in coords]
-        P = pts.select(F.col("_k").alias("nb_key"), F.col("_v").alias("nb_v"),
-                       *[c.alias(f"c{i}") for i, c in enumerate(cell)])
-        offs = F.array(*[F.lit(o) for o in (-1, 0, 1)])
-        Q = queries.select("_k", "_v", *[c.alias(f"q{i}") for i, c in enumerate(cell)])
-        for i in range(len(axes)):
-            Q = Q.select("*", F.explode(offs).alias(f"o{i}")) \
-                 .withColumn(f"c{i}", F.col(f"q{i}") + F.col(f"o{i}")).drop(f"o{i}")
-        cand = Q.join(P, [f"c{i}" for i in range(len(axes))]).where(F.col("_k") != F.col("nb_key"))
-        cand = cand.select("_k", "nb_key", _dist2(F.col("_v"), F.col("nb_v")).alias("dist2"))
-        w_top = Window.partitionBy("_k").orderBy("dist2", "nb_key")
-        best = cand.withColumn("j", F.row_number().over(w_top)).where(F.col("j") <= k)
-        best = cut_lineage(best)
-        summary = best.groupBy("_k").agg(F.count(F.lit(1)).alias("cnt"), F.max("dist2").alias("kth"))
-        need = min(k, n - 1)
-        ok = (F.col("cnt") >= F.lit(need)) & ((F.col("kth") <= F.lit(w * w)) | F.lit(complete))
-        certified = summary.where(ok).select("_k")
-        results.append(best.join(certified, "_k", "left_semi"))
-        queries = cut_lineage(queries.join(certified, "_k", "left_anti"))
-        if complete or queries.isEmpty():
-            break
-        w *= 4.0
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out.select(F.col("_k").alias(key), F.col("j").cast("int").alias("j"), "nb_key", "dist2")
-
-
 # ------------------------------------------------------------------ R4-R7 ----
 def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int = 42,
           minority=None, synthetic_col: str = "is_synthetic") -> DataFrame:

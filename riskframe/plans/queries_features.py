@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.exprs import flag, ratio_plus_one
 from riskframe.operators import encode, features, profile, sample
 from riskframe.plans.catalog import (DOC_SUBJECT_SQL, LINE_SUBJECT_SQL, ORDER_SUBJECT_SQL, query, r6, with_views)
-from riskframe.plans.subjects import ORDER_PRIORITY_LEVELS, doc_subject, line_subject, order_subject
+from riskframe.plans.subjects import ORDER_PRIORITY_LEVELS, doc_subject, line_subject, order_subject, vec_subject
 
 # level vocabularies used by the line-level features (natural order of the domain)
 PRIORITY_SCORES = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "4-NOT SPECIFIED": 4, "5-LOW": 5}
@@ -228,6 +228,17 @@ def r5_minority_knn(spark, sf_dir):
     return sample.knn(pts, "doc_id", "x", 5)
 
 
+@query("r5_embedding_knn", """
+WITH mi AS (SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings WHERE label = 0),
+pr AS (SELECT a.vec_id, b.vec_id AS nb_key, list_sum([(x[1] - x[2]) * (x[1] - x[2]) FOR x IN list_zip(a.v, b.v)]) AS dist2
+       FROM mi a JOIN mi b ON a.vec_id <> b.vec_id)
+SELECT vec_id, CAST(j AS INTEGER) AS j, nb_key, round(dist2, 9) AS dist2
+FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(dist2, 12), nb_key) AS j FROM pr) t WHERE j <= 5""")
+def r5_embedding_knn(spark, sf_dir):
+    pts = vec_subject(spark, sf_dir).where(F.col("target") == 1)
+    return sample.knn(pts, "vec_id", "features_arr", 5).withColumn("dist2", F.round("dist2", 9))
+
+
 @query("r4_smote", with_views(DOC_SUBJECT_SQL, MINORITY_SQL, """
 cnt AS (SELECT sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS m, sum(CASE WHEN label = 0 THEN 1 ELSE 0 END) AS maj
         FROM doc_subject)""", """
