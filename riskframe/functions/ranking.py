@@ -23,21 +23,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.exprs import md5_bucket, sorted_bucket
+from riskframe.functions.exprs import md5_bucket
 
 # Offsets tables are (groups x buckets) rows; broadcast them below this many rows.
 OFFSETS_BROADCAST_MAX_ROWS = 2_000_000
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    r = right
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null equal to null; the keys come from ``left``."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
     for k in keys:
-        r = r.withColumnRenamed(k, f"_r_{k}")
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else (cond & c)
-    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
+        cond = cond & left[k].eqNullSafe(r[f"_r_{k}"])
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def running_totals(
@@ -66,7 +64,7 @@ def running_totals(
     )
     if offsets_rows_bound is not None and offsets_rows_bound <= OFFSETS_BROADCAST_MAX_ROWS:
         off = F.broadcast(off)
-    joined = _null_safe_join(local, off, [*parts, bucket_col])
+    joined = null_safe_join(local, off, [*parts, bucket_col])
     return joined.select(
         *df.columns,
         *[(F.col(f"_off_{c}") + F.col(f"_loc_{c}")).alias(f"{prefix}{c}") for c in sum_cols],
@@ -93,42 +91,6 @@ def hash_rank(
     return r.withColumnRenamed("_cum_one", name).drop(b, "_one")
 
 
-def approx_bounds(df: DataFrame, value_col: str, n_buckets: int, group_col: str | None = None,
-                  accuracy: int = 10000) -> dict:
-    """Approximate equal-frequency bucket bounds per group (collected: groups x n_buckets
-    doubles, a bounded summary).  Returns {group: sorted distinct bounds}."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if not probs:
-        return {}
-    agg = F.percentile_approx(F.col(value_col).cast("double"), probs, accuracy).alias("b")
-    if group_col is None:
-        rows = df.agg(agg).collect()
-        return {None: sorted(set(x for x in (rows[0]["b"] or []) if x is not None))}
-    rows = df.groupBy(group_col).agg(agg).collect()
-    return {r[group_col]: sorted(set(x for x in (r["b"] or []) if x is not None)) for r in rows}
-
-
-def grouped_bucket(value: str, bounds: dict, group_col: str | None = None) -> Column:
-    """Bucket column from ``approx_bounds`` output (binary-search expression per group)."""
-    if group_col is None:
-        return sorted_bucket(value, bounds.get(None, []))
-    expr = None
-    for g, bs in bounds.items():
-        cond = F.col(group_col).isNull() if g is None else (F.col(group_col) == F.lit(g))
-        expr = F.when(cond, sorted_bucket(value, bs)) if expr is None else expr.when(cond, sorted_bucket(value, bs))
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
-
-
-# Cap on value buckets: the bucket id is a binary-search expression with one
-# comparison per bound, and it must stay small enough for whole-stage codegen.
-MAX_VALUE_BUCKETS = 256
-
-
-def default_buckets(spark) -> int:
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(2, min(MAX_VALUE_BUCKETS, 4 * n))
-
-
 def value_histogram(df: DataFrame, cols: Sequence[str], cast: str = "double") -> DataFrame:
     """Long (column, value, cnt) histogram of non-null values; map-side partial
     aggregation collapses hot values before the shuffle."""

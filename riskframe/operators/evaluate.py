@@ -4,8 +4,8 @@
   passes (a binary-search expression), then (bucket, label) counts (<= 81 x 2 rows),
   suffix sums over that tiny table give all 80 confusion matrices at once.
 * V7 ROC-AUC and V15 ROC points: exact with ties.  Rows collapse to distinct scores
-  (partial aggregation), cumulative counts come from ``running_totals`` over
-  approximate-quantile buckets, so no window holds the whole table.
+  (partial aggregation), cumulative counts are prefix sums over range partitions
+  (offsets from the partitions' totals), so no window holds the whole table.
 * Metrics (V2-V9) are conditional counts in one aggregation.
 """
 
@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import sorted_bucket
-from riskframe.functions.ranking import approx_bounds, default_buckets, grouped_bucket, running_totals
+from riskframe.functions.ranking import null_safe_join as _null_safe_join
+from riskframe.session import cut_lineage
 
 # The sweep grid is numpy.arange(0.1, 0.9, 0.01): 80 doubles, most of them not the
 # two-decimal numbers they look like; the chosen one is rounded to 2 decimals.
@@ -36,40 +37,45 @@ def _f1(tp: Column, fp: Column, fn: Column) -> Column:
     return _safe_div(F.lit(2) * tp, F.lit(2) * tp + fp + fn)
 
 
-def threshold_sweep(scored: DataFrame, label: str = "label", score: str = "score",
-                    thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
-    """V1 (all thresholds): (idx, threshold, tn, fp, fn, tp, f1_macro)."""
-    spark = scored.sparkSession
-    k = len(thresholds)
-    b = sorted_bucket(F.col(score).cast("double"), thresholds)  # number of thresholds <= score
+def _score_counts(scored: DataFrame, label: str, score: str, group: Sequence[str]) -> DataFrame:
+    """Positives and negatives of every distinct score: all that V1, V2, V7 and V15 need of the rows."""
     y = F.col(label).cast("long")
-    counts = scored.where(F.col(score).isNotNull()).groupBy(b.alias("bucket")).agg(
+    return scored.where(F.col(score).isNotNull()).groupBy(*group, F.col(score).cast("double").alias("s")).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
-    spine = spark.range(k + 1).select(F.col("id").cast("int").alias("bucket"))  # k+1 rows
-    full = spine.join(F.broadcast(counts), "bucket", "left").fillna(0, ["pos", "neg"])
-    # bounded table (k+1 rows): a global window here is a single tiny task
-    w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = Window.partitionBy()
-    sfx = full.select("bucket", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-                      F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"))
-    th = spark.createDataFrame([(i + 1, i, float(t)) for i, t in enumerate(thresholds)],
-                               "bucket int, idx int, threshold double")
-    j = sfx.join(F.broadcast(th), "bucket")
+
+
+def _sweep(counts: DataFrame, thresholds: Sequence[float], group: Sequence[str]) -> DataFrame:
+    """Confusion counts at every threshold from the counts of distinct scores."""
+    k, parts = len(thresholds), list(group)
+    b = sorted_bucket(F.col("s"), thresholds)  # number of thresholds <= score
+    held = counts.groupBy(*parts, b.alias("bucket")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # at most k + 1 rows a group from here on
+    spine = held.select(*parts).distinct() if parts else counts.sparkSession.range(1).select()
+    spine = spine.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(k))))
+    full = _null_safe_join(spine, held, [*parts, "bucket"], "left").fillna(0, ["pos", "neg"])
+    w = Window.partitionBy(*parts).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tot = Window.partitionBy(*parts)
+    sfx = full.select(*parts, "bucket", F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
+                      F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N")).where("bucket > 0")
     fn = F.col("P") - F.col("tp")
     tn = F.col("N") - F.col("fp")
     f1m = (_f1(F.col("tp"), F.col("fp"), fn) + _f1(tn, fn, F.col("fp"))) / F.lit(2.0)
-    return j.select("idx", "threshold", tn.alias("tn"), "fp", fn.alias("fn"), "tp", f1m.alias("f1_macro"))
+    threshold = F.element_at(F.array(*[F.lit(float(t)) for t in thresholds]), F.col("bucket"))
+    return sfx.select(*parts, (F.col("bucket") - 1).alias("idx"), threshold.alias("threshold"), tn.alias("tn"), "fp", fn.alias("fn"), "tp", f1m.alias("f1_macro"))
 
 
-def best_threshold(sweep: DataFrame, rounded: Sequence[float] = THRESHOLDS_ROUNDED) -> DataFrame:
+def threshold_sweep(scored: DataFrame, label: str = "label", score: str = "score",
+                    thresholds: Sequence[float] = THRESHOLDS, group: Sequence[str] = ()) -> DataFrame:
+    """V1 (all thresholds): (*group, idx, threshold, tn, fp, fn, tp, f1_macro)."""
+    return _sweep(_score_counts(scored, label, score, group), thresholds, group)
+
+
+def best_threshold(sweep: DataFrame, rounded: Sequence[float] = THRESHOLDS_ROUNDED, group: Sequence[str] = ()) -> DataFrame:
     """V1 (choice): highest F1-macro, ties -> lowest threshold, default 0.5 when every
-    F1 is 0; rounded to 2 decimals.  One row (threshold, f1_macro)."""
-    spark = sweep.sparkSession
-    r = spark.createDataFrame(list(enumerate(rounded)), "idx int, threshold_rounded double")
-    top = sweep.join(F.broadcast(r), "idx").orderBy(F.desc("f1_macro"), "idx").limit(1)
-    return top.select(
-        F.when(F.col("f1_macro") > 0, F.col("threshold_rounded")).otherwise(F.lit(DEFAULT_THRESHOLD)).alias("threshold"),
-        "f1_macro")
+    F1 is 0; rounded to 2 decimals.  One row (*group, threshold, f1_macro) per group."""
+    top = sweep.groupBy(*group).agg(F.max(F.struct("f1_macro", (-F.col("idx")).alias("i"))).alias("m")).where("m is not null")
+    at = F.element_at(F.array(*[F.lit(float(r)) for r in rounded]), (1 - F.col("m.i")).cast("int"))
+    return top.select(*group, F.when(F.col("m.f1_macro") > 0, at).otherwise(F.lit(DEFAULT_THRESHOLD)).alias("threshold"), F.col("m.f1_macro").alias("f1_macro"))
 
 
 def tuned_threshold(scored: DataFrame, label: str = "label", score: str = "score") -> float:
@@ -110,41 +116,37 @@ def metrics_from_counts(c: DataFrame, class_names: tuple[str, str] = ("negative"
     })
 
 
-def _score_counts(scored: DataFrame, label: str, score: str, group: Sequence[str]) -> DataFrame:
-    y = F.col(label).cast("long")
-    return scored.where(F.col(score).isNotNull()).groupBy(*group, F.col(score).cast("double").alias("s")).agg(
-        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
+def _ranged(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Distinct scores range-partitioned by (group, score), with the number of their partition.  Written once: the bounds of
+    a range partitioning are drawn from a sample, and totals and offsets must see the same ones."""
+    return cut_lineage(counts.repartitionByRange(*group, "s").withColumn("_part", F.spark_partition_id()))
 
 
-def _cumulative(scored: DataFrame, label: str, score: str, group: Sequence[str]) -> DataFrame:
-    """Distinct scores with inclusive cumulative pos/neg counts (ascending score) and the
-    group totals P, N."""
-    sc = _score_counts(scored, label, score, group)
-    nb = default_buckets(scored.sparkSession)
-    gcol = None
-    if group:
-        gcol = "_g"
-        sc = sc.withColumn(gcol, F.concat_ws("\u0001", *[F.col(g).cast("string") for g in group]))
-    bounds = approx_bounds(sc, "s", nb, gcol)
-    sc = sc.withColumn("_bkt", grouped_bucket("s", bounds, gcol))
+def _prefix_sums(ranged: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Distinct scores with inclusive cumulative pos/neg counts (ascending score) and the group totals P, N: sums inside
+    every partition, and offsets from the totals of the partitions (groups x partitions rows at most)."""
     parts = list(group)
-    cum = running_totals(sc, ["pos", "neg"], ["s"], "_bkt", parts,
-                         offsets_rows_bound=max(1, len(bounds)) * nb)
-    tot = sc.groupBy(*parts).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    # totals: one row per group (bounded by the number of groups)
-    joined = cum.join(F.broadcast(tot), parts) if parts else _attach_scalars(cum, tot)
-    return joined.drop("_bkt", *([gcol] if gcol else []))
+    inside = Window.partitionBy(*parts, "_part").orderBy("s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*parts).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*parts)
+    totals = ranged.groupBy(*parts, "_part").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    offsets = totals.select(*parts, "_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}0") for c in ("_p", "_n")],
+                            F.sum("_p").over(whole).alias("P"), F.sum("_n").over(whole).alias("N"))
+    local = ranged.select("*", F.sum("pos").over(inside).alias("_lp"), F.sum("neg").over(inside).alias("_ln"))
+    return _null_safe_join(local, offsets, [*parts, "_part"]).select(
+        *parts, "s", "pos", "neg", (F.col("_p0") + F.col("_lp")).alias("cum_pos"), (F.col("_n0") + F.col("_ln")).alias("cum_neg"), "P", "N")
 
 
-def _attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row aggregate as literals (a bounded scalar collect)."""
-    r = one_row.first()
-    return df.withColumns({k: F.lit(v) for k, v in r.asDict().items()})
+def _cumulative(scored: DataFrame, label: str, score: str, group: Sequence[str]) -> DataFrame:
+    return _prefix_sums(_ranged(_score_counts(scored, label, score, group), group), group)
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score", group: Sequence[str] = ()) -> DataFrame:
     """V7: exact ROC-AUC with ties = P(score_pos > score_neg) + 0.5 P(equal)."""
-    c = _cumulative(scored, label, score, group)
+    return _auc(_cumulative(scored, label, score, group), group)
+
+
+def _auc(c: DataFrame, group: Sequence[str]) -> DataFrame:
     above = F.col("P") - F.col("cum_pos")  # positives with a strictly higher score
     term = F.col("neg").cast("double") * (above.cast("double") + F.lit(0.5) * F.col("pos").cast("double"))
     agg = c.groupBy(*group).agg(F.sum(term).alias("_num"), F.first("P").alias("P"), F.first("N").alias("N"))
@@ -187,17 +189,22 @@ def class_report(c: DataFrame) -> DataFrame:
     return c.select(F.inline(F.array(*rows)))
 
 
+def evaluate_models(scored: DataFrame, group: str = "model", label: str = "label", score: str = "score",
+                    class_names: tuple[str, str] = ("negative", "positive")) -> DataFrame:
+    """One metrics row for every model: tune its threshold on this table, recompute the confusion counts at the rounded
+    threshold, add ROC-AUC.  The rows are read once, for the counts of distinct scores; all models share every step."""
+    held = _ranged(_score_counts(scored, label, score, [group]), [group])
+    best = best_threshold(_sweep(held, THRESHOLDS, [group]), group=[group]).select(group, "threshold")
+    at = _sweep(held, THRESHOLDS_ROUNDED, [group]).select(group, "threshold", "tn", "fp", "fn", "tp")
+    rows = metrics_from_counts(_null_safe_join(at, best, [group, "threshold"]), class_names)
+    return _null_safe_join(rows, _auc(_prefix_sums(held, [group]), [group]), [group]).select(
+        group, "accuracy", "f1_macro", "precision", "recall", "roc_auc", "fpr", "fnr", "threshold", "dominant_error", "tn", "fp", "fn", "tp")
+
+
 def evaluate_model(scored: DataFrame, model_name: str, label: str = "label", score: str = "score",
                    class_names: tuple[str, str] = ("negative", "positive")) -> DataFrame:
-    """One metrics row: tune the threshold on this table, recompute the confusion
-    counts at the rounded threshold, add ROC-AUC."""
-    thr = tuned_threshold(scored, label, score)
-    c = confusion_counts(scored, thr, label, score)
-    m = metrics_from_counts(c, class_names)
-    auc = roc_auc(scored, label, score)
-    row = _attach_scalars(m, auc)
-    return row.select(F.lit(model_name).alias("model"), "accuracy", "f1_macro", "precision", "recall", "roc_auc",
-                      "fpr", "fnr", F.lit(thr).alias("threshold"), "dominant_error", "tn", "fp", "fn", "tp")
+    """V11 for one model."""
+    return evaluate_models(scored.withColumn("model", F.lit(model_name)), "model", label, score, class_names)
 
 
 def round_metrics(m: DataFrame, decimals: int = 4) -> DataFrame:

@@ -3,8 +3,6 @@ documents ⋈ labels (scores rounded to 6 decimals so ties exist and both engine
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from riskframe.functions.exprs import sigmoid
@@ -31,9 +29,8 @@ def _z(params):
 
 def scored_docs(spark, sf_dir, models=tuple(SCORERS)):
     d = doc_subject(spark, sf_dir)
-    parts = [d.select(F.lit(m).alias("model"), "doc_id", "label", F.round(sigmoid(_z(SCORERS[m])), 6).alias("score"))
-             for m in models]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    rows = [F.struct(F.lit(m).alias("model"), F.round(sigmoid(_z(SCORERS[m])), 6).alias("score")) for m in models]
+    return d.select("doc_id", "label", F.inline(F.array(*rows))).select("model", "doc_id", "label", "score")
 
 
 def _z_sql(params):
@@ -90,28 +87,23 @@ EVAL_VIEWS = with_views(DOC_SUBJECT_SQL, SC_SQL, TH_SQL, SWEEP_SQL)
 
 
 def metrics_table(spark, sf_dir):
-    sc = scored_docs(spark, sf_dir).cache()
-    rows = [ev.evaluate_model(sc.where(F.col("model") == m), m) for m in SCORERS]
-    return reduce(lambda a, b: a.unionByName(b), rows)
+    return ev.evaluate_models(scored_docs(spark, sf_dir))
 
 
 _M6 = ("accuracy", "f1_macro", "precision", "recall", "roc_auc", "fpr", "fnr")
 
 
 @query("v1_threshold_sweep", EVAL_VIEWS + """
-SELECT idx, t AS threshold, tn, fp, fn, tp, round(f1_macro, 6) AS f1_macro FROM swf WHERE model = 'scorer_a'""")
+SELECT model, idx, t AS threshold, tn, fp, fn, tp, round(f1_macro, 6) AS f1_macro FROM swf""")
 def v1_threshold_sweep(spark, sf_dir):
-    sc = scored_docs(spark, sf_dir, ("scorer_a",))
-    return ev.threshold_sweep(sc).withColumn("f1_macro", r6("f1_macro")).withColumn("idx", F.col("idx").cast("int"))
+    return ev.threshold_sweep(scored_docs(spark, sf_dir), group=["model"]).withColumn("f1_macro", r6("f1_macro")).withColumn("idx", F.col("idx").cast("int"))
 
 
 @query("v1_best_threshold", EVAL_VIEWS + """
 SELECT model, threshold, round(f1_macro, 6) AS f1_macro FROM best""")
 def v1_best_threshold(spark, sf_dir):
-    sc = scored_docs(spark, sf_dir)
-    outs = [ev.best_threshold(ev.threshold_sweep(sc.where(F.col("model") == m))).select(F.lit(m).alias("model"), "*")
-            for m in SCORERS]
-    return reduce(lambda a, b: a.unionByName(b), outs).withColumn("f1_macro", r6("f1_macro"))
+    sweep = ev.threshold_sweep(scored_docs(spark, sf_dir), group=["model"])
+    return ev.best_threshold(sweep, group=["model"]).withColumn("f1_macro", r6("f1_macro"))
 
 
 @query("v2_confusion_counts", EVAL_VIEWS + """
@@ -183,16 +175,13 @@ def v14_misclassification(spark, sf_dir):
 
 
 @query("v15_roc_curve", EVAL_VIEWS + """,
-a AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
-      FROM sc WHERE model = 'scorer_a' GROUP BY score),
-t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM a)
-SELECT a.score AS threshold,
-       round(CAST((SELECT count(*) FROM sc s WHERE s.model = 'scorer_a' AND s.label = 0 AND s.score >= a.score) AS DOUBLE) / N, 6) AS fpr,
-       round(CAST((SELECT count(*) FROM sc s WHERE s.model = 'scorer_a' AND s.label = 1 AND s.score >= a.score) AS DOUBLE) / P, 6) AS tpr
-FROM a, t
-UNION ALL SELECT 'inf'::DOUBLE, 0.0, 0.0""")
+a AS (SELECT model, score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM sc GROUP BY model, score),
+c AS (SELECT model, score, sum(pos) OVER up AS tp, sum(neg) OVER up AS fp, sum(pos) OVER (PARTITION BY model) AS P, sum(neg) OVER (PARTITION BY model) AS N
+      FROM a WINDOW up AS (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT model, score AS threshold, round(CAST(fp AS DOUBLE) / N, 6) AS fpr, round(CAST(tp AS DOUBLE) / P, 6) AS tpr FROM c
+UNION ALL SELECT DISTINCT model, 'inf'::DOUBLE, 0.0, 0.0 FROM sc""")
 def v15_roc_curve(spark, sf_dir):
-    c = ev.roc_curve(scored_docs(spark, sf_dir, ("scorer_a",)))
+    c = ev.roc_curve(scored_docs(spark, sf_dir), group=["model"])
     return c.withColumns({"fpr": r6("fpr"), "tpr": r6("tpr")})
 
 

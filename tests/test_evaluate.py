@@ -85,3 +85,27 @@ def test_ranking_and_verdicts(spark):
     v = {r.model: r.verdict for r in ev.add_verdicts(m, {"a": "Baseline", "b": "Compare", "c": "Compare"}).collect()}
     assert v == {"a": "Baseline", "b": "Compare", "c": "Winner"}
     assert ev.comparison_long(m.withColumn("threshold", F.lit(0.5)), ("f1_macro", "roc_auc")).count() == 6
+
+
+def test_models_in_one_plan_equal_each_alone(spark):
+    """Hot scores, ties, a null group and a model with one class, over several partitions."""
+    rng = np.random.default_rng(9)
+    rows = [(m, int(y), float(np.round(np.clip(0.3 * y + rng.random() * 0.7, 0, 1), d))) for m, d in (("a", 2), ("b", 6), (None, 1)) for y in (rng.random(500) < 0.3)]
+    rows += [("hot", i % 2, 0.5) for i in range(800)] + [("one", 1, 0.1 * (i % 7)) for i in range(40)]
+    df = spark.createDataFrame(rows, "model string, label int, score double").repartition(6)
+    got = {r["model"]: r for r in ev.evaluate_models(df).collect()}
+    assert set(got) == {"a", "b", None, "hot", "one"}
+    for m, r in got.items():
+        y = np.array([x[1] for x in rows if x[0] == m])
+        s = np.array([x[2] for x in rows if x[0] == m])
+        f1 = [_f1m(y, (s >= t).astype(int)) for t in ev.THRESHOLDS]
+        assert r["threshold"] == (round(ev.THRESHOLDS[int(np.argmax(f1))], 2) if max(f1) > 0 else 0.5)
+        assert (r["tp"], r["fp"]) == (int(((s >= r["threshold"]) & (y == 1)).sum()), int(((s >= r["threshold"]) & (y == 0)).sum()))
+        pos, neg = s[y == 1], s[y == 0]
+        if len(pos) and len(neg):
+            auc = ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))
+            assert abs(r["roc_auc"] - auc) < 1e-12
+        else:
+            assert r["roc_auc"] is None
+    curve = ev.roc_curve(df, group=["model"]).collect()
+    assert len(curve) == len({(x[0], x[2]) for x in rows}) + 5
