@@ -16,6 +16,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from riskframe.functions.exprs import lookup, md5_bucket, md5_uniform, seeded_md5
 from riskframe.functions.ranking import hash_rank
 from riskframe.operators.neighbours import knn
+from riskframe.session import cut_lineage
 
 
 # ------------------------------------------------------------------ quotas ---
@@ -131,7 +132,8 @@ def smote(df: DataFrame, key: str, label: str, vec: str, k: int = 5, seed: int =
     if n_needed <= 0 or m < 2:
         return base
     k_eff = min(k, m - 1)
-    mino = df.where(F.col(label) == F.lit(minority)).select(key, vec)
+    # read by the ranks, by the neighbour search and as neighbours: computed once
+    mino = cut_lineage(df.where(F.col(label) == F.lit(minority)).select(key, vec))
     ranked = hash_rank(mino.withColumn("_h", seeded_md5(seed, key)), "_h", [key], [], name="_idx", groups_bound=1) \
         .select(F.col(key).alias("b_key"), F.col(vec).alias("b_v"), (F.col("_idx") - 1).alias("b_idx"))
     nn = knn(mino, key, vec, k_eff).select(F.col(key).alias("b_key"), "j", "nb_key")
