@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.graph import components
 from riskframe.llm.store import dropped, written
-from riskframe.llm.words import hashes, mixed, shingles, text_bytes, word_hash_cache
+from riskframe.llm.words import hashes, mixed, releasing, shingles, text_bytes, word_hash_cache
 
 SHINGLE = 5
 PERCENT = 75
@@ -217,7 +217,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     t = written(texts.join(involved, "node", "left_semi"), f"{name}-texts")
     full = (pairs.join(t.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
             .join(t.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
-    links = written(full.mapInArrow(_verified, "a long, b long").distinct(), f"{name}-links")
+    links = written(full.mapInArrow(releasing(_verified), "a long, b long").distinct(), f"{name}-links")
     dropped(t)
     return links
 
@@ -263,7 +263,7 @@ def _across(members: DataFrame, label: DataFrame, nodes: DataFrame, best: bool)
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component) for every row of ``docs``; ``component`` is the smallest id reachable by links."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(rows.mapInArrow(_signed, "id long, n_shingles long, lo long, hi long, sig binary"), "signed")
+    signed = written(rows.mapInArrow(releasing(_signed), "id long, n_shingles long, lo long, hi long, sig binary"), "signed")
 
     # One node per distinct set: its smallest id.
     sets = signed.where("n_shingles > 0 and id is not null").groupBy("lo", "hi").agg(F.min("id").alias("node"))

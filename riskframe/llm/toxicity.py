@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.words import WordCache, text_bytes
+from riskframe.llm.words import WordCache, releasing, text_bytes
 
 SAMPLE = 6000
 MAX_TERMS = 1024
@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = ranked.where("y = 1").limit(sample).union(ranked.where("y = 0").limit(sample))
     # at most 2 * sample rows of 12 bytes
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(_extracted, "id long, y int, terms array<int>"))
+            .join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(releasing(_extracted), "id long, y int, terms array<int>"))
     table = rows.repartition(1).mapInArrow(_fitted, "term int, w double, v array<double>").collect()
     if not table:
         return FactorizationMachine(bias=prior)
@@ -173,4 +173,4 @@ def scored(docs: DataFrame, model: FactorizationMachine, text_col: str = "text",
 
     kept = docs.drop(name) if name in docs.columns else docs
     kept = kept.withColumn(text_col, F.col(text_col).cast("string"))
-    return kept.mapInArrow(run, kept.withColumn(name, F.lit(0.0)).schema)
+    return kept.mapInArrow(releasing(run), kept.withColumn(name, F.lit(0.0)).schema)

@@ -36,6 +36,16 @@ def released() -> Iterator[None]:
             pass
 
 
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over batches, inside ``released``."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        with released():
+            yield from run(batches)
+
+    return wrapped
+
+
 class WordCache(dict):
     """word -> value, computed by ``make`` at first sight.
 
