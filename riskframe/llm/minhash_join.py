@@ -52,6 +52,8 @@ BLOCK = 2048
 SURE = 7
 #: Ranges of hash values in the sketch.
 BINS = 256
+#: Words of the filter of nodes (64 bits each).
+FILTER_WORDS = 1 << 18
 
 _A = mixed(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _B = mixed(np.arange(1001, 1001 + HASHES, dtype=np.uint64))
@@ -211,10 +213,23 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def _among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``rows`` whose ``node`` is among ``nodes``.  Most others are left out before the rows are exchanged, by a filter of at most
+    ``FILTER_WORDS`` words, which can be broadcast whatever the number of nodes; the join is exact."""
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("__word", F.pmod(F.xxhash64("node"), F.lit(FILTER_WORDS))).withColumn(
+            "__bit", F.expr("shiftleft(1L, cast(shiftrightunsigned(xxhash64(node), 58) as int))"))
+
+    words = marked(nodes).groupBy("__word").agg(F.expr("bit_or(__bit)").alias("__bits")).withColumnRenamed("__word", "__held")
+    may = marked(rows).join(F.broadcast(words), F.expr("__word = __held and __bits & __bit != 0"), "left_semi")
+    return may.drop("__word", "__bit").join(nodes, "node", "left_semi")
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """Pairs (a, b) that pass the exact test on whole texts."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    t = written(texts.join(involved, "node", "left_semi"), f"{name}-texts")
+    involved = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}-involved")
+    t = written(_among(texts, involved), f"{name}-texts")
+    dropped(involved)
     full = (pairs.join(t.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
             .join(t.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb"))
     links = written(full.mapInArrow(releasing(_verified), "a long, b long").distinct(), f"{name}-links")
@@ -280,8 +295,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     members = written(keys.where("n > 1"), "members")
 
     stars = members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    chosen = _near(stars, nodes).groupBy("b").agg(F.min(F.struct("bins", "a")).alias("x")).select("x.a", "b")
+    chosen = written(_near(stars, nodes).groupBy("b").agg(F.min(F.struct("bins", "a")).alias("x")).select("x.a", "b"), "chosen")
     label = written(components(_confirm(chosen, texts, "star")), "components")
+    dropped(chosen)
     for best in (True, False):
         pairs = written(_across(members, label, nodes, best), "across")
         links = _confirm(pairs, texts, "across")
