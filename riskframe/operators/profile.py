@@ -6,12 +6,14 @@ unpivoted with ``inline`` where the output is long), never one job per column.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from riskframe.functions.moments import pair_moments
 from riskframe.functions.ranking import exact_quantiles, present
 
 
@@ -151,37 +153,47 @@ def clip_report(df: DataFrame, fences: dict) -> DataFrame:
         F.inline(F.array(*[F.col(f"_s{i}") for i in range(len(rows))])))
 
 
-def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """Pearson correlation per (a, b) pair over rows where both are non-null, as
-    (pair, corr).  Pairs are unpivoted so one grouped aggregation with three
-    aggregates serves every pair (a single aggregate with one buffer set per pair
-    exceeds the codegen field limit and runs interpreted).  Zero variance -> null."""
-    structs = [F.struct(F.lit(k).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-               for k, (a, b) in enumerate(pairs)]
-    long = df.select(F.inline(F.array(*structs))).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return long.groupBy("pair").agg(
-        F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y")).alias("corr"))
+#: Part of a sum of squares that must be left after centring; pairs below it are taken again by central moments.
+LEFT = 1e-9
+
+
+def _central_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> dict:
+    """Correlations of few pairs by running central moments (rows are repeated for every pair)."""
+    held = lambda c: F.when(F.abs(present(c)) < float("inf"), present(c))
+    structs = [F.struct(F.lit(k).alias("pair"), held(a).alias("x"), held(b).alias("y")) for k, (a, b) in enumerate(pairs)]
+    long = df.select(F.inline(F.array(*structs))).where("x is not null and y is not null")
+    corr = F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y"))
+    return {pairs[r["pair"]]: r["corr"] for r in long.groupBy("pair").agg(corr.alias("corr")).collect()}
+
+
+def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] | None = None) -> dict:
+    """{(a, b): correlation or None} over rows where both are present; the driver gets one row for each pair of columns."""
+    second, out, again = left if right is None else right, {}, []
+    for r in pair_moments(df, left, right).collect():
+        pair = (left[r["a"]], second[r["b"]])
+        if r["n"] < 2 or r["xx"] <= 0 or r["yy"] <= 0:
+            out[pair] = None
+        elif min(r["xx"] / r["raw_x"], r["yy"] / r["raw_y"]) < LEFT:
+            again.append(pair)
+        else:
+            out[pair] = max(-1.0, min(1.0, r["xy"] / (math.sqrt(r["xx"]) * math.sqrt(r["yy"]))))
+    return {**out, **(_central_correlations(df, again) if again else {})}
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long (col_a, col_b, corr), one pass."""
+    """Pairwise-complete Pearson correlation, long (col_a, col_b, corr), one pass of block products; null, NaN and infinite
+    values are missing, no variance gives null."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    g = _pair_correlations(df, pairs)
-    # mirror the upper triangle: (pairs x 2) rows, a bounded table
-    names = df.sparkSession.createDataFrame(
-        [(k, a, b) for k, (a, b) in enumerate(pairs)] + [(k, b, a) for k, (a, b) in enumerate(pairs) if a != b],
-        "pair int, col_a string, col_b string")
-    return F.broadcast(names).join(g, "pair", "left").select("col_a", "col_b", "corr")
+    corr = _correlations(df, cols)
+    rows = [(a, b, corr.get((a, b) if i <= j else (b, a))) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def target_correlations(df: DataFrame, cols: Sequence[str], target: str, top_n: int = 10) -> DataFrame:
     """Correlations with the target, top n by absolute value."""
-    cols = list(cols)
-    g = _pair_correlations(df, [(c, target) for c in cols])
-    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "pair int, feature string")
-    long = F.broadcast(names).join(g, "pair").select("feature", "corr")
-    return long.where(F.col("corr").isNotNull()).orderBy(F.desc(F.abs("corr")), "feature").limit(top_n)
+    corr = _correlations(df, list(cols), [target])
+    long = df.sparkSession.createDataFrame([(a, v) for (a, _), v in corr.items() if v is not None], "feature string, corr double")
+    return long.orderBy(F.desc(F.abs("corr")), "feature").limit(top_n)
 
 
 def group_means(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
