@@ -60,6 +60,8 @@ _KNOWN = ["NFC", "Replace", "Lowercase", ("Split", _PATTERN), ("ByteLevel", None
 #: The same cut for ``_SIMPLE`` characters, whose numbers are the ten digits.
 _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _SIMPLE = re.compile("[!-~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u0148\u014a-\u024f\u0400-\u045f]+").fullmatch
+#: Marks after a word of ASCII letters: one piece, whatever their number.
+_TAIL = b".,;:!?)\""
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
 _BYTE_LEVEL = "".join(chr(b if b in _PRINTED else 256 + _OTHERS.index(b)) for b in range(256))
@@ -95,16 +97,28 @@ class Encoder:
         young, old, tokenize = self.young, self.old, self.tokenizer.model.tokenize
         known = words & old.keys()
         young.update(zip(known, map(old.__getitem__, known), strict=True))
-        new, rest = list(words - known), []
-        texts = b"\n".join(new).decode("utf-8", "replace").split("\n") if new else []
-        for w, t in zip(new, texts, strict=True):
+        others, rest = [], []
+        for w in words - known:
+            core = w.rstrip(_TAIL)
+            if not self.simple or not core.isalpha():
+                others.append(w)
+                continue
+            ids, tail = b"", w[len(core):]
+            for key in (core.lower(), tail) if tail else (core.lower(),):
+                one = young.get(key) or old.get(key)
+                if one is None:
+                    one = young[key] = array("H", [t.id for t in tokenize(key.decode("ascii"))]).tobytes()
+                ids += one
+            young[w] = ids
+        texts = b"\n".join(others).decode("utf-8", "replace").split("\n") if others else []
+        for w, t in zip(others, texts, strict=True):
             if w in young:
                 continue
-            if not self.simple or not (w.isalpha() or _SIMPLE(t)) or ("<" in t and any(a in t.lower() for a in self.added)):
+            if not self.simple or not _SIMPLE(t) or ("<" in t and any(a in t.lower() for a in self.added)):
                 rest.append((w, t))
                 continue
             ids = []
-            for piece in (t.lower(),) if w.isalpha() else _CUT.findall(t.lower()):
+            for piece in _CUT.findall(t.lower()):
                 key = piece.encode()
                 one = young.get(key) or old.get(key)
                 if one is None:
