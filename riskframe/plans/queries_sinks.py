@@ -10,11 +10,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from riskframe.plans import queries_clean, queries_eval, queries_explain, queries_features
-from riskframe.plans.catalog import ORACLE, query
+from riskframe.plans.catalog import ORACLE, ORDER_SUBJECT_SQL, query, with_views
 from riskframe.plans.subjects import order_subject
 from riskframe.session import ensure_checkpoint_dir
 from riskframe.sources import sinks
-from riskframe.sources.tables import read_csv
+from riskframe.sources.tables import read_csv, read_csv_permissive
 
 
 def _scratch(spark, name: str) -> str:
@@ -67,3 +67,18 @@ def s2_csv_scan(spark, sf_dir):
     return clean.clean_raw(raw, ORDER_ROLES).select(
         "o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "c_acctbal",
         F.col("c_mktsegment"))
+
+
+@query("s3_permissive_scan", with_views(ORDER_SUBJECT_SQL) + """
+SELECT coalesce(o_orderpriority, '') AS o_orderpriority, o_orderkey % 5 = 0 AS broken, count(*) AS n, round(sum(CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE o_totalprice END), 2) AS price
+FROM order_subject GROUP BY ALL""")
+def s3_permissive_scan(spark, sf_dir):
+    """Orders as a CSV without the target, each fifth key with a price that is no number: good rows and rejected lines."""
+    broken = F.col("o_orderkey") % 5 == 0
+    raw = order_subject(spark, sf_dir).select("o_orderkey", "o_orderpriority", F.when(broken, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"))
+    path = sinks.write_table(raw, _scratch(spark, "broken-csv"), fmt="csv")
+    rows, rejected = read_csv_permissive(spark, path, "o_orderkey long, o_orderpriority string, o_totalprice double, o_orderstatus string", label_optional=True)
+    good = rows.where("o_orderstatus is null").select("o_orderpriority", F.lit(False).alias("broken"), F.col("o_totalprice").alias("price"))
+    bad = rejected.select(F.nullif(F.split_part("line", F.lit(","), F.lit(2)), F.lit("")).alias("o_orderpriority"), F.lit(True).alias("broken"), F.lit(0.0).alias("price"))
+    both = good.unionByName(bad).withColumn("o_orderpriority", F.coalesce("o_orderpriority", F.lit("")))
+    return both.groupBy("o_orderpriority", "broken").agg(F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("price"))

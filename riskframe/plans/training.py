@@ -49,6 +49,7 @@ class TrainResult:
     cv_metrics: dict
     scored: dict
     metrics: DataFrame
+    maps: dict = field(default_factory=dict)  # parameter maps that were searched, in the order of cv_metrics
 
 
 def prepare(df: DataFrame, key: str, label: str, vec: str, smote: bool = True, seed: int = 42,
@@ -79,7 +80,7 @@ def train_all(df: DataFrame, key: str, label: str, vec: str, spec: SearchSpec |
     spec = spec or SearchSpec()
     train, test = prepare(df, key, label, vec, smote, seed, spec.folds)
     n_train = train.count()
-    fitted, cvm, scored, rows = {}, {}, {}, []
+    fitted, cvm, scored, searched, rows = {}, {}, {}, {}, []
     for name in ("logistic_regression", "random_forest", "gbt"):
         est = models.ESTIMATORS[name]()
         if not smote:
@@ -91,14 +92,14 @@ def train_all(df: DataFrame, key: str, label: str, vec: str, spec: SearchSpec |
         else:
             maps = models.boosted_maps(est, spec.boosted)
         best, avg = models.search(est, train.drop("is_synthetic"), maps, parallelism=spec.parallelism)
-        fitted[name], cvm[name] = best, avg
+        fitted[name], cvm[name], searched[name] = best, avg, maps
         s = models.predict_proba(best, test).select(key, "label", "prediction", "score")
         scored[name] = s
         rows.append(ev.evaluate_model(s, MODEL_DISPLAY[name]))
     metrics = rows[0]
     for r in rows[1:]:
         metrics = metrics.unionByName(r)
-    return TrainResult(train, test, fitted, cvm, scored, metrics)
+    return TrainResult(train, test, fitted, cvm, scored, metrics, searched)
 
 
 def importances(spark, result: TrainResult, names, top_n: int = 10) -> DataFrame:

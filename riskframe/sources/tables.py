@@ -64,6 +64,30 @@ def read_csv(spark: SparkSession, path: str, schema: str | StructType, label_opt
     return rows.select([F.col(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in declared.fields])
 
 
+def read_csv_permissive(spark: SparkSession, path: str, schema: str | StructType, label_optional: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S2/S3 for scoring files that may hold broken lines: (rows, rejected).
+
+    A line is broken if a value does not parse as its declared type or if its number of fields is not the header's; broken
+    lines are left out of the rows and come back whole in ``rejected`` (file, line).  Both are one narrow scan of the file,
+    so a bad line neither ends the batch nor goes unseen.  ``label_optional`` as in ``read_csv``."""
+    _require(path)
+    declared = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+    header = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    by_name = {f.name: f for f in declared.fields}
+    missing = [f.name for f in declared.fields if f.name not in header]
+    if missing and not label_optional:
+        raise ValueError(f"the header of {path} does not name {missing}")
+    corrupt = "__broken"
+    present = StructType([*(by_name.get(c) or StructField(c, StringType()) for c in header), StructField(corrupt, StringType())])
+    scan = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+            .option("enforceSchema", False).schema(present).csv(path))
+    # true of every row: keeps all columns in the scan, so that a value that is not asked for is still checked
+    scan = scan.where(F.xxhash64(*[F.col(f"`{c}`") for c in header]) >= F.lit(-(1 << 63)))
+    rows = scan.where(F.col(corrupt).isNull()).select([F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name)
+                                                       for f in declared.fields])
+    return rows, scan.where(F.col(corrupt).isNotNull()).select(F.input_file_name().alias("file"), F.col(corrupt).alias("line"))
+
+
 def read_parquet(spark: SparkSession, path: str, schema: str | StructType | None = None) -> DataFrame:
     _require(path)
     r = spark.read
