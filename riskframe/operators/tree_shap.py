@@ -90,79 +90,89 @@ def expected_value(tables: dict) -> float:
     return 2.0 * sum(t["weight"] * _tree_expected(t) for t in trees)
 
 
-def _shap_one_tree(x: np.ndarray, t: dict, phi: np.ndarray, scale: float) -> None:
-    left, right, feat, thr, cats, value, cover = (t[k] for k in ("left", "right", "feat", "thr", "cats", "value", "cover"))
+def _leaf_paths(t: dict) -> list[tuple[int, list[int], np.ndarray, list[list[tuple[int, bool]]]]]:
+    """For every leaf: its node, the features on its path, the share of cover that follows the path at each feature's
+    splits, and these splits (node, whether the path goes left)."""
+    left, right, feat, cover = (t[k] for k in ("left", "right", "feat", "cover"))
+    out, open_ = [], [(0, {})]
+    while open_:
+        node, path = open_.pop()
+        if left[node] < 0:
+            out.append((node, list(path), np.array([z for z, _ in path.values()]), [at for _, at in path.values()]))
+            continue
+        f = int(feat[node])
+        z, at = path.get(f, (1.0, []))
+        for child, goes_left in ((left[node], True), (right[node], False)):
+            open_.append((int(child), path | {f: (z * cover[child] / cover[node], [*at, (node, goes_left)])}))
+    return out
 
-    def extend(path, ud, pz, po, pi):
-        path[ud] = [pi, pz, po, 1.0 if ud == 0 else 0.0]
-        for i in range(ud - 1, -1, -1):
-            path[i + 1][3] += po * path[i][3] * (i + 1) / (ud + 1)
-            path[i][3] = pz * path[i][3] * (ud - i) / (ud + 1)
 
-    def unwind(path, ud, k):
-        po, pz = path[k][2], path[k][1]
-        nxt = path[ud][3]
+def _weights(ones: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Contribution per unit of a leaf's value of each path feature, for rows of 0/1: does the row follow the path there?
+    (EXTEND over the whole path, then the UNWOUND sum of every feature, all rows at a time.)"""
+    n, d = ones.shape
+    w = np.zeros((d + 1, n))
+    w[0] = 1.0
+    for ud in range(1, d + 1):
+        po, pz = ones[:, ud - 1], z[ud - 1]
         for i in range(ud - 1, -1, -1):
-            if po != 0:
-                tmp = path[i][3]
-                path[i][3] = nxt * (ud + 1) / ((i + 1) * po)
-                nxt = tmp - path[i][3] * pz * (ud - i) / (ud + 1)
-            else:
-                path[i][3] = (path[i][3] * (ud + 1)) / (pz * (ud - i))
-        for i in range(k, ud):
-            path[i][0], path[i][1], path[i][2] = path[i + 1][0], path[i + 1][1], path[i + 1][2]
-
-    def unwound_sum(path, ud, k):
-        po, pz = path[k][2], path[k][1]
-        nxt = path[ud][3]
-        total = 0.0
-        for i in range(ud - 1, -1, -1):
-            if po != 0:
-                tmp = nxt * (ud + 1) / ((i + 1) * po)
-                total += tmp
-                nxt = path[i][3] - tmp * pz * ((ud - i) / (ud + 1))
-            else:
-                total += (path[i][3] / pz) / ((ud - i) / (ud + 1))
-        return total
+            w[i + 1] += po * w[i] * (i + 1) / (ud + 1)
+            w[i] = pz * w[i] * (ud - i) / (ud + 1)
+    out = np.empty((n, d))
+    for k in range(d):
+        follows, pz = ones[:, k] != 0, z[k]
+        nxt, total = w[d].copy(), np.zeros(n)
+        for i in range(d - 1, -1, -1):
+            tmp = nxt * (d + 1) / (i + 1)
+            total += np.where(follows, tmp, w[i] / pz * (d + 1) / (d - i))
+            nxt = w[i] - tmp * pz * (d - i) / (d + 1)
+        out[:, k] = total * (ones[:, k] - pz)
+    return out
+
+
+def _bits(patterns: np.ndarray, d: int) -> np.ndarray:
+    return (patterns[:, None] >> np.arange(d) & 1).astype(float)
 
-    def recurse(node, parent, ud, pz, po, pi):
-        path = [list(e) for e in parent[:ud]] + [[-1, 0.0, 0.0, 0.0]]
-        extend(path, ud, pz, po, pi)
-        if left[node] < 0:
-            for i in range(1, ud + 1):
-                w = unwound_sum(path, ud, i)
-                d, z, o, _ = path[i]
-                phi[d] += scale * w * (o - z) * value[node]
-            return
-        f = int(feat[node])
-        goes_left = (x[f] <= thr[node]) if cats[node] is None else (x[f] in cats[node])
-        hot, cold = (left[node], right[node]) if goes_left else (right[node], left[node])
-        hz, cz = cover[hot] / cover[node], cover[cold] / cover[node]
-        iz, io = 1.0, 1.0
-        k = next((i for i in range(ud + 1) if path[i][0] == f), None)
-        if k is not None:
-            iz, io = path[k][1], path[k][2]
-            unwind(path, ud, k)
-            ud -= 1
-        recurse(hot, path, ud + 1, hz * iz, io, f)
-        recurse(cold, path, ud + 1, cz * iz, 0.0, f)
 
-    recurse(0, [], 0, 1.0, 1.0, -1)
+#: Up to so many path features, a leaf's contributions are kept for all patterns; longer paths take those that a batch has.
+TABLE_FEATURES = 8
+
+
+def _leaf_tables(tables: dict) -> list[list[tuple]]:
+    """What ``shap_matrix`` needs of every tree's leaves, made once per task and kept with the tables."""
+    if "leaves" not in tables:
+        tables["leaves"] = [[(f, z, at, t["value"][node], _weights(_bits(np.arange(1 << len(f)), len(f)), z) if len(f) <= TABLE_FEATURES else None)
+                             for node, f, z, at in _leaf_paths(t) if f] for t in tables["trees"]]
+    return tables["leaves"]
 
 
 def shap_matrix(tables: dict, X: np.ndarray) -> np.ndarray:
-    """phi for a batch of rows (rows x features)."""
+    """phi for a batch of rows (rows x features).  A row's contributions at a leaf depend only on which path features it
+    follows, so each leaf looks them up for all rows of the batch."""
     trees = tables["trees"]
     if tables["kind"] == "forest":
         wsum = sum(t["weight"] for t in trees)
         scales = [t["weight"] / wsum for t in trees]
     else:
         scales = [2.0 * t["weight"] for t in trees]
-    out = np.zeros(X.shape, dtype=float)
-    for r in range(X.shape[0]):
-        for t, s in zip(trees, scales):
-            _shap_one_tree(X[r], t, out[r], s)
-    return out
+    columns = np.ascontiguousarray(X.T)
+    out = np.zeros(columns.shape, dtype=float)
+    for t, leaves, s in zip(trees, _leaf_tables(tables), scales, strict=True):
+        goes_left = {int(i): np.isin(columns[f], list(t["cats"][i])) if t["cats"][i] is not None else columns[f] <= t["thr"][i]
+                     for i, f in enumerate(t["feat"]) if t["left"][i] >= 0}
+        for features, z, splits, value, table in leaves:
+            pattern = np.zeros(X.shape[0], dtype=np.int64)
+            for j, at in enumerate(splits):
+                follows = np.ones(X.shape[0], dtype=bool)
+                for node, is_left in at:
+                    follows &= goes_left[node] == is_left
+                pattern |= follows.astype(np.int64) << j
+            if table is None:
+                found, pattern = np.unique(pattern, return_inverse=True)
+                table = _weights(_bits(found, len(features)), z)
+            for j, f in enumerate(features):
+                out[f] += (s * value * table[:, j])[pattern]
+    return out.T
 
 
 def tree_shap(df: DataFrame, key: str, vec: str, model, names: Sequence[str] | None = None) -> DataFrame:
@@ -181,15 +191,11 @@ def tree_shap(df: DataFrame, key: str, vec: str, model, names: Sequence[str] | N
     def run(batches):
         tb = bc.value
         for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.vstack(pdf["x"].to_numpy()).astype(float)
-            phi = shap_matrix(tb, X)
-            d = phi.shape[1]
-            feats = list(names) if names else [f"feature_{i}" for i in range(d)]
-            yield pd.DataFrame({"key": np.repeat(pdf["key"].to_numpy(), d),
-                                "feature": np.tile(np.array(feats[:d], dtype=object), len(pdf)),
-                                "phi": phi.reshape(-1)})
-
-    out = src.mapInPandas(run, f"key {key_type}, feature string, phi double")
-    return out.withColumnRenamed("key", key)
+            if not pdf.empty:
+                yield pd.DataFrame({"key": pdf["key"], "phi": list(shap_matrix(tb, np.vstack(pdf["x"].to_numpy()).astype(float)))})
+
+    phi = src.mapInPandas(run, f"key {key_type}, phi array<double>")
+    # names are added by Spark: from Python come only the numbers
+    known = F.array(*[F.lit(n) for n in names]) if names else F.transform("phi", lambda _, i: F.concat(F.lit("feature_"), i.cast("string")))
+    long = phi.select("key", F.posexplode("phi").alias("_i", "phi"), known.alias("_names"))
+    return long.select(F.col("key").alias(key), F.get("_names", F.col("_i")).alias("feature"), "phi")
