@@ -29,7 +29,8 @@ import sys
 import zlib
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +61,10 @@ _KNOWN = ["NFC", "Replace", "Lowercase", ("Split", _PATTERN), ("ByteLevel", None
 #: The same cut for ``_SIMPLE`` characters, whose numbers are the ten digits.
 _CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 _SIMPLE = re.compile("[!-~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u0148\u014a-\u024f\u0400-\u045f]+").fullmatch
-#: Marks after a word of ASCII letters: one piece, whatever their number.
-_TAIL = b".,;:!?)\""
+#: Marks after a word of letters: one piece, whatever their number.  Not "<", which the vocabulary's own tokens start with.
+_TAIL_TEXT = "!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
+_TAIL = _TAIL_TEXT.encode()
+_ID = attrgetter("id")
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _OTHERS = [b for b in range(256) if b not in _PRINTED]
 _BYTE_LEVEL = "".join(chr(b if b in _PRINTED else 256 + _OTHERS.index(b)) for b in range(256))
@@ -69,8 +72,23 @@ _HEAD = "<4sBB32s"
 _ENTRY = np.dtype([("id", "<i8"), ("null", "<i4"), ("length", "<u4"), ("offset", "<u8"), ("first", "<u8"), ("tokens", "<u8")])
 
 
-class Encoder:
-    """Ids of whole texts as little-endian bytes."""
+class _Ids(dict):
+    """word -> its ids, made at first sight or taken over from ``old``, the generation before."""
+
+    def __init__(self, make: Callable[[bytes, _Ids], bytes], old: dict[bytes, bytes]):
+        super().__init__()
+        self.make, self.old = make, old
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word, self)
+        self[word] = ids
+        return ids
+
+
+class _Vocabulary:
+    """Ids of single words as little-endian bytes.  It holds no cache: no cycle may keep one past its task."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -80,54 +98,54 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(tokenizer))
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.end = np.array([END], dtype=self.dtype).tobytes()
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
         parts = json.loads(self.tokenizer.to_str())
         self.added = [t["content"].lower() for t in parts["added_tokens"]]
-        self.added_bytes = [a.encode() for a in self.added]
         self.simple = (sys.byteorder == "little" and self.dtype.itemsize == 2 and _KNOWN == [
             *(n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])), *((t["type"], t.get("pattern", {}).get("Regex")) for t in (parts["pre_tokenizer"] or {}).get("pretokenizers", []))])
 
-    def _single(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def learn(self, words: set[bytes]) -> None:
-        """Make sure that ``young`` holds every one of these words."""
-        young, old, tokenize = self.young, self.old, self.tokenizer.model.tokenize
-        known = words & old.keys()
-        young.update(zip(known, map(old.__getitem__, known), strict=True))
-        others, rest = [], []
-        for w in words - known:
-            core = w.rstrip(_TAIL)
-            if not self.simple or not core.isalpha():
-                others.append(w)
-                continue
-            ids, tail = b"", w[len(core):]
-            for key in (core.lower(), tail) if tail else (core.lower(),):
-                one = young.get(key) or old.get(key)
-                if one is None:
-                    one = young[key] = array("H", [t.id for t in tokenize(key.decode("ascii"))]).tobytes()
-                ids += one
-            young[w] = ids
-        texts = b"\n".join(others).decode("utf-8", "replace").split("\n") if others else []
-        for w, t in zip(others, texts, strict=True):
-            if w in young:
-                continue
-            if not self.simple or not _SIMPLE(t) or ("<" in t and any(a in t.lower() for a in self.added)):
-                rest.append((w, t))
-                continue
-            ids = []
-            for piece in _CUT.findall(t.lower()):
-                key = piece.encode()
-                one = young.get(key) or old.get(key)
-                if one is None:
-                    shown = piece if piece.isascii() else codecs.charmap_decode(key, "strict", _BYTE_LEVEL)[0]
-                    one = young[key] = array("H", [t.id for t in tokenize(shown)]).tobytes()
-                ids.append(one)
-            young[w] = b"".join(ids)
-        if rest:
-            young.update(zip([w for w, _ in rest], self._single([t for _, t in rest]), strict=True))
+    def _single(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([word], add_special_tokens=False)[0].ids, dtype=self.dtype).tobytes()
+
+    def make(self, word: bytes, known: _Ids) -> bytes:
+        """Ids of a word at first sight; its pieces are kept as words of their own."""
+        if not self.simple:
+            return self._single(word.decode("utf-8", "replace"))
+        core = word.rstrip(_TAIL)
+        if core.isalpha():
+            key = core.lower()
+            if key == word:
+                return array("H", map(_ID, self.tokenize(key.decode("ascii")))).tobytes()
+            return known[key] + known[word[len(core):]] if len(core) < len(word) else known[key]
+        text = word.decode("utf-8", "replace")
+        letters = text.rstrip(_TAIL_TEXT)
+        if letters.isalpha() and _SIMPLE(letters):
+            key = letters.lower().encode()
+            if key == word:
+                return array("H", map(_ID, self.tokenize(codecs.charmap_decode(key, "strict", _BYTE_LEVEL)[0]))).tobytes()
+            tail = text[len(letters):].encode()
+            return known[key] + known[tail] if tail else known[key]
+        if not _SIMPLE(text) or ("<" in text and any(a in text.lower() for a in self.added)):
+            return self._single(text)
+        pieces = _CUT.findall(text.lower())
+        if len(pieces) > 1:
+            return b"".join([known[p.encode()] for p in pieces])
+        key = pieces[0].encode()
+        if key != word:
+            return known[key]
+        shown = pieces[0] if key.isascii() else codecs.charmap_decode(key, "strict", _BYTE_LEVEL)[0]
+        return array("H", map(_ID, self.tokenize(shown))).tobytes()
+
+
+class Encoder:
+    """Ids of whole texts as little-endian bytes."""
+
+    def __init__(self, tokenizer: str):
+        vocabulary = _Vocabulary(tokenizer)
+        self.dtype = vocabulary.dtype
+        self.end = np.array([END], dtype=self.dtype).tobytes()
+        self.added_bytes = [a.encode() for a in vocabulary.added]
+        self.ids = _Ids(vocabulary.make, {})
 
     def _words(self, text: bytes) -> list[bytes]:
         """Words of a text.  ASCII letters are lowered as the tokenizer would; not where that could make one of its own tokens,
@@ -140,13 +158,12 @@ class Encoder:
 
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         for at in range(0, len(texts), 256):
-            split = [self._words(t) if t else [] for t in texts[at : at + 256]]
-            if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {}
-            young = self.young
-            self.learn({w for s in split for w in s if w not in young})
-            for s in split:
-                yield b"".join(map(young.__getitem__, s)) + self.end
+            if len(self.ids) > CACHE_WORDS:
+                self.ids.old = {}
+                self.ids = _Ids(self.ids.make, self.ids)
+            ids = self.ids.__getitem__
+            for t in texts[at : at + 256]:
+                yield b"".join(map(ids, self._words(t))) + self.end if t else self.end
 
 
 def _ids(tokenizer: str):

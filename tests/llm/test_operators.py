@@ -3,6 +3,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -123,6 +124,32 @@ def test_tokens_of_greek_capitals_equal_whole_text_encoding():
     assert got == [[*t.encode(x, add_special_tokens=False).ids, tokens.END] for x in texts]
 
 
+def test_words_of_letters_with_trailing_marks_are_not_cut_by_the_pattern(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    text = "été été&&& Étéção,### abc&&& ABC$$$ abc' abc'. ---*** привет,%%% (abc <|endoftext|>, abc's"
+    encoder = tokens.Encoder(tokens.TOKENIZER)
+
+    def cut(word):
+        assert not word.rstrip(string.punctuation).isalpha(), word
+        return pattern.findall(word)
+
+    pattern = tokens._CUT
+    monkeypatch.setattr(tokens, "_CUT", type("Cut", (), {"findall": staticmethod(cut)}))
+    got = np.frombuffer(next(encoder.encode([text.encode()])), dtype=encoder.dtype).tolist()
+    whole = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER)).encode(text, add_special_tokens=False).ids
+    assert got == [*whole, tokens.END]
+
+
+def test_ids_outlive_a_generation_of_words(monkeypatch):
+    texts = [b"one two, three", b"two four", None, b"two, one"] * 300
+    want = list(tokens.Encoder(tokens.TOKENIZER).encode(texts))
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 2)
+    encoder = tokens.Encoder(tokens.TOKENIZER)
+    assert list(encoder.encode(texts)) == want and len(encoder.ids.old) <= 6 and not encoder.ids.old.old
+
+
 # ------------------------------------------------------------------ 3
 def test_warc_round_trip(spark):
     big, rng = "x" * 1000, random.Random(3)
