@@ -18,7 +18,7 @@ from riskframe.plans import pipeline
 from riskframe.plans.catalog import DOC_SUBJECT_SQL, query, r6, with_views
 from riskframe.plans.subjects import DOC_ROLES, doc_subject
 from riskframe.plans.training import SearchSpec
-from riskframe.session import ensure_checkpoint_dir
+from riskframe.session import cut_lineage, ensure_checkpoint_dir
 
 NAMES = ("logistic_regression", "random_forest", "gbt")
 ONE_SETTING = SearchSpec(
@@ -33,9 +33,14 @@ ALL_DOCS_SQL = DOC_SUBJECT_SQL.replace("doc_subject AS", "all_docs AS").replace(
 MODELS_SQL = "(VALUES " + ", ".join(f"('{n}')" for n in NAMES) + ") m(model)"
 
 
+def _subject(spark, sf_dir, how: str = "inner") -> DataFrame:
+    """``doc_subject``, cut from the texts that its columns count in: fits and scores read it many times."""
+    return cut_lineage(doc_subject(spark, sf_dir, how))
+
+
 def _fitted(spark, sf_dir, smote: bool) -> str:
     folder = os.path.join(ensure_checkpoint_dir(spark), f"named-models-{uuid.uuid4().hex}")
-    pipeline.fit(doc_subject(spark, sf_dir), DOC_ROLES, folder, ONE_SETTING, smote=smote)
+    pipeline.fit(_subject(spark, sf_dir), DOC_ROLES, folder, ONE_SETTING, smote=smote)
     return folder
 
 
@@ -47,7 +52,7 @@ def _each(make) -> DataFrame:
 SELECT a.*, model, true AS consistent FROM all_docs a, {MODELS_SQL}""")
 def p2_score_by_name(spark, sf_dir):
     """Every document scored by every saved model: input columns untouched, and label and probability fit together."""
-    raw, folder = doc_subject(spark, sf_dir, "left"), _fitted(spark, sf_dir, smote=True)
+    raw, folder = _subject(spark, sf_dir, "left"), _fitted(spark, sf_dir, smote=True)
     p, yes = F.col("Probability"), F.col("Prediction") == "Yes"
     fits = p.between(0, 1) & ((yes & (p >= 0.5)) | ((F.col("Prediction") == "No") & (p <= 0.5)))
     return _each(lambda n: pipeline.score(raw, DOC_ROLES, folder, n)).select(*raw.columns, "model", F.coalesce(fits, F.lit(False)).alias("consistent"))
@@ -65,7 +70,7 @@ def x6_explainer_by_name(spark, sf_dir):
 SELECT doc_id, model, true AS additive FROM all_docs a, {MODELS_SQL}""")
 def x7_explain_raw_rows(spark, sf_dir):
     """Contributions of every document under every saved model: with the base value they add up to its score."""
-    raw, folder = doc_subject(spark, sf_dir, "left"), _fitted(spark, sf_dir, smote=False)
+    raw, folder = _subject(spark, sf_dir, "left"), _fitted(spark, sf_dir, smote=False)
 
     def one(name: str) -> DataFrame:
         base = F.lit(pipeline.load(spark, folder, name).base)

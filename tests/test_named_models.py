@@ -54,3 +54,20 @@ def test_top_contributions(raw, folder):
         assert top.count() == 480
         whole = pipeline.explain_rows(raw, ROLES, folder, name, top_n=None).groupBy("id").agg(F.max(F.abs("phi")).alias("m"))
         assert top.where("rank = 1").join(whole, "id").where("abs(abs(phi) - m) > 1e-9").count() == 0
+
+
+def test_queries_by_name_count_in_the_texts_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from riskframe.plans import pipeline, queries_pipeline
+
+    rows = [(i, "a b\nc" * i, "en", "web", 5 * i) for i in range(6)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(4)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    plans = []
+    seen = lambda df: plans.append(df._jdf.queryExecution().toString()) or df
+    monkeypatch.setattr(pipeline, "fit", lambda raw, *a, **k: seen(raw))
+    monkeypatch.setattr(pipeline, "score", lambda raw, *a, **k: seen(raw).withColumns({"Prediction": F.lit("Yes"), "Probability": F.lit(0.5)}))
+    out = queries_pipeline.p2_score_by_name(spark, str(tmp_path))
+    assert len(plans) == 4 and not any("text" in p for p in plans)
+    assert out.count() == 18 and {r["consistent"] for r in out.collect()} == {True}
