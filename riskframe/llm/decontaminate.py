@@ -38,8 +38,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.store import written
-from riskframe.llm.words import WordCache, mixed, text_bytes
+from riskframe.llm.store import dropped, written
+from riskframe.llm.words import WordCache, mixed, releasing, text_bytes
 
 WINDOW = 5
 SHARE = 0.75
@@ -309,7 +309,7 @@ def _bitmap(hashes: DataFrame) -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()], pa.binary())], names=["bits"])
 
     total = np.zeros(BITS // 8, dtype=np.uint8)
-    for row in hashes.select("hash").repartition(8).mapInArrow(mark, "bits binary").toLocalIterator():
+    for row in hashes.select("hash").repartition(8).mapInArrow(releasing(mark), "bits binary").toLocalIterator():
         total |= np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
     return total.tobytes()
 
@@ -318,17 +318,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   item_text_col: str = "text", share: float = SHARE) -> DataFrame:
     """(id, item, n_windows, n_found, share, n_slots_changed): one row per document and item that it holds."""
     pair = lambda df, key, text: df.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    items = written(pair(benchmark, item_col, item_text_col).mapInArrow(_windows(None, None), _WINDOWS), "items")
+    items = written(pair(benchmark, item_col, item_text_col).mapInArrow(releasing(_windows(None, None)), _WINDOWS), "items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
     spark = docs.sparkSession
     if not sizes:
         return spark.createDataFrame([], "id long, item long, n_windows long, n_found long, share double, n_slots_changed long")
-    found = pair(docs, id_col, text_col).mapInArrow(_windows(sizes, _bitmap(items)), _WINDOWS)
+    found = pair(docs, id_col, text_col).mapInArrow(releasing(_windows(sizes, _bitmap(items))), _WINDOWS)
     joined = found.select("id", "at", "token", "hash", "size", "template", "slots").alias("d").join(items.alias("i"), ["hash", "size"]).where(
         "size(d.slots) = size(i.slots)")
-    hits = written(joined.select("d.id", F.col("i.id").alias("item"), (F.col("d.at") - F.col("i.at")).alias("shift"), F.col("i.at").alias("at"),
-                                 F.col("i.token").alias("token"), (F.col("i.template") == 0).alias("literal"), "i.n_literal", "i.n_places",
-                                 "d.slots", F.col("i.slots").alias("item_slots"), "i.marks").mapInArrow(_paired, _HITS), "hits")
+    # written in between: a task that windows and pairs would keep two Python workers, for as long as the executor lives
+    met = written(joined.select("d.id", F.col("i.id").alias("item"), (F.col("d.at") - F.col("i.at")).alias("shift"), F.col("i.at").alias("at"),
+                                F.col("i.token").alias("token"), (F.col("i.template") == 0).alias("literal"), "i.n_literal", "i.n_places",
+                                "d.slots", F.col("i.slots").alias("item_slots"), "i.marks"), "met")
+    hits = written(met.mapInArrow(releasing(_paired), _HITS), "hits")
+    dropped(met)
     pairs = hits.where("size(pairs) > 0").select("id", "item", "shift", F.explode("pairs").alias("s")).select("id", "item", "shift", "s.*")
     sure = F.when(~F.col("opener"), F.col("now"))
     each = pairs.groupBy("id", "item", "shift", "was").agg(F.min("now").alias("low"), F.max("now").alias("high"), F.min(sure).alias("sure_low"), F.max(sure).alias("sure_high"))

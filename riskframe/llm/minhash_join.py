@@ -244,7 +244,7 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             may, bins, _ = near(signatures(batch.column(2)), signatures(batch.column(3)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bins)], names=["a", "b", "bins"]).filter(pa.array(may))
 
-    return (pairs.join(nodes.toDF("b", "sb"), "b").join(nodes.toDF("a", "sa"), "a").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, bins long"))
+    return (pairs.join(nodes.toDF("b", "sb"), "b").join(nodes.toDF("a", "sa"), "a").select("a", "b", "sa", "sb").mapInArrow(releasing(run), "a long, b long, bins long"))
 
 
 def _merged(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -269,7 +269,7 @@ def _across(members: DataFrame, label: DataFrame, nodes: DataFrame, best: bool)
               .withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
               .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "component", "sig"))
-    found = (spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compared(best), "a long, b long, bins long"))
+    found = (spread.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(releasing(_compared(best)), "a long, b long, bins long"))
     if best:
         found = found.groupBy("a").agg(F.min(F.struct("bins", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -291,7 +291,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     # one exchange of the keys: both figures of a key are taken where its members meet
     group = W.partitionBy("key")
-    keys = nodes.mapInArrow(_keyed, "node long, key long").select("key", "node", F.min("node").over(group).alias("least"), F.count("*").over(group).alias("n"))
+    keys = nodes.mapInArrow(releasing(_keyed), "node long, key long").select("key", "node", F.min("node").over(group).alias("least"), F.count("*").over(group).alias("n"))
     members = written(keys.where("n > 1"), "members")
 
     stars = members.where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm.store import written
+from riskframe.llm.words import releasing
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -133,7 +134,7 @@ def _pivot(columns: list[str], seed: int):
 
 def _settle(rows: DataFrame, seed: int) -> DataFrame:
     dealt = rows.repartition("__rank", "__node").sortWithinPartitions("__rank", "__node", "__order", "__name")
-    return dealt.mapInArrow(_pivot(rows.columns, seed), T.StructType([*rows.schema.fields, T.StructField("__open", T.BooleanType())]))
+    return dealt.mapInArrow(releasing(_pivot(rows.columns, seed)), T.StructType([*rows.schema.fields, T.StructField("__open", T.BooleanType())]))
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", size_col: str = "size", share: float = SHARE, seed: int = SEED,

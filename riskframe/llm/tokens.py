@@ -40,7 +40,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riskframe.llm.store import EMPTY_FRAME, hash_sample, read_files, skippable, write_frames, written
-from riskframe.llm.words import released, text_bytes
+from riskframe.llm.words import releasing, text_bytes
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
@@ -168,12 +168,11 @@ class Encoder:
 
 def _ids(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with released():
-            encoder = Encoder(tokenizer)
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(list(encoder.encode(text_bytes(batch.column(0)))), pa.binary())], names=["ids"])
+        encoder = Encoder(tokenizer)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(list(encoder.encode(text_bytes(batch.column(0)))), pa.binary())], names=["ids"])
 
-    return run
+    return releasing(run)
 
 
 def train_dictionary(rows: DataFrame, tokenizer: str) -> bytes:
@@ -190,32 +189,31 @@ def train_dictionary(rows: DataFrame, tokenizer: str) -> bytes:
 
 def _shards(tokenizer: str, dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with released():
-            encoder = Encoder(tokenizer)
-            width = encoder.dtype.itemsize
-            zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-            if zd:
-                zd.precompute_compress(level=LEVEL)
-            press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zd)
-            header = skippable(struct.pack(_HEAD, b"TOKS", 1, width, hashlib.sha256(dictionary).digest()) + dictionary, HEADER)
-            at, first, index = len(header) + len(EMPTY_FRAME), 0, []
-            out = [header]
-            for batch in batches:
-                keys = batch.column(0).to_pylist()
-                texts = text_bytes(batch.column(1))
-                for key, raw in zip(keys, encoder.encode(texts), strict=True):
-                    frame = press.compress(raw)
-                    index.append((key or 0, key is None, len(frame), at, first, len(raw) // width))
-                    at, first = at + len(frame) + len(EMPTY_FRAME), first + len(raw) // width
-                    out.append(frame)
-                    if len(out) >= 512:
-                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-                        out = []
-            if index:
-                out.append(skippable(np.array(index, dtype=_ENTRY).tobytes() + struct.pack("<Q", len(index)), FOOTER))
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
-
-    return run
+        encoder = Encoder(tokenizer)
+        width = encoder.dtype.itemsize
+        zd = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if zd:
+            zd.precompute_compress(level=LEVEL)
+        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zd)
+        header = skippable(struct.pack(_HEAD, b"TOKS", 1, width, hashlib.sha256(dictionary).digest()) + dictionary, HEADER)
+        at, first, index = len(header) + len(EMPTY_FRAME), 0, []
+        out = [header]
+        for batch in batches:
+            keys = batch.column(0).to_pylist()
+            texts = text_bytes(batch.column(1))
+            for key, raw in zip(keys, encoder.encode(texts), strict=True):
+                frame = press.compress(raw)
+                index.append((key or 0, key is None, len(frame), at, first, len(raw) // width))
+                at, first = at + len(frame) + len(EMPTY_FRAME), first + len(raw) // width
+                out.append(frame)
+                if len(out) >= 512:
+                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+                    out = []
+        if index:
+            out.append(skippable(np.array(index, dtype=_ENTRY).tobytes() + struct.pack("<Q", len(index)), FOOTER))
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+
+    return releasing(run)
 
 
 def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, shard_bytes: int = SHARD_BYTES) -> None:
@@ -270,7 +268,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """(id, start, n_tokens, ids_crc32) of every document in the files below ``path``; every file is read once."""
-    rows = written(read_files(spark, path).mapInArrow(_digests, "path string, id long, first long, n_tokens long, ids_crc32 long"), "digests")
+    rows = written(read_files(spark, path).mapInArrow(releasing(_digests), "path string, id long, first long, n_tokens long, ids_crc32 long"), "digests")
     # one row per file; file names carry the shard number, so their order is the order of the shards
     before = F.coalesce(F.sum("tokens").over(W.orderBy("path").rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast("long"))
     shards = rows.groupBy("path").agg(F.sum("n_tokens").alias("tokens")).select("path", before.alias("before"))

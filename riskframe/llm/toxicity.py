@@ -146,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # at most 2 * sample rows of 12 bytes
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(releasing(_extracted), "id long, y int, terms array<int>"))
-    table = rows.repartition(1).mapInArrow(_fitted, "term int, w double, v array<double>").collect()
+    table = rows.repartition(1).mapInArrow(releasing(_fitted), "term int, w double, v array<double>").collect()
     if not table:
         return FactorizationMachine(bias=prior)
     bias = next(r["w"] for r in table if r["term"] < 0)

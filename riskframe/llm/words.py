@@ -37,7 +37,7 @@ def released() -> Iterator[None]:
 
 
 def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``run`` over batches, inside ``released``."""
+    """``run`` over batches, inside ``released``: by its end the generator's own names are gone, so what they held goes back too."""
 
     def wrapped(batches: Iterator) -> Iterator:
         with released():
@@ -112,4 +112,4 @@ def sized(df: DataFrame, text_col: str, name: str, keep_text: bool = True) -> Da
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), n], names=[*(batch.schema.names[i] for i in rest), name])
 
     out = base if keep_text else base.drop(text_col)
-    return base.mapInArrow(run, out.withColumn(name, F.lit(0).cast("long")).schema)
+    return base.mapInArrow(releasing(run), out.withColumn(name, F.lit(0).cast("long")).schema)
