@@ -68,3 +68,10 @@ def test_families_are_searched_when_read(spark, searches):
     with pytest.raises(KeyError):
         res.fitted["nothing"]
     del searches[before:]
+
+
+def test_forest_of_the_best_of_thirty_maps(spark, folder, searches):
+    got = E.queries()["m2_random_forest"](spark, folder).collect()
+    assert len(got) == 30 and all(r["bounded"] and r["consistent"] for r in got)
+    maps = _of(searches, "RandomForestClassifier")
+    assert len(maps) == 30 and {m["numTrees"] for m in maps} == {200, 300, 400} and {m["maxDepth"] for m in maps} == {6, 8, 10, 30}
