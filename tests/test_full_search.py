@@ -1,5 +1,6 @@
 """The registered model queries search the full grids.  Fits are few here: every search is recorded, its first map fitted."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -75,3 +76,17 @@ def test_forest_of_the_best_of_thirty_maps(spark, folder, searches):
     assert len(got) == 30 and all(r["bounded"] and r["consistent"] for r in got)
     maps = _of(searches, "RandomForestClassifier")
     assert len(maps) == 30 and {m["numTrees"] for m in maps} == {200, 300, 400} and {m["maxDepth"] for m in maps} == {6, 8, 10, 30}
+
+
+def _by_sql(name, folder):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{folder}/embeddings.parquet/*.parquet')")
+    return sorted(map(tuple, con.execute(E.oracle_sql()[name]).fetchall()))
+
+
+def test_grid_search_has_all_eight_maps(spark, folder, searches):
+    got = E.queries()["m5_grid_search_cv"](spark, folder).collect()
+    n = 2 * 100  # the larger class of the training part, twice
+    want = sorted((round(1 / (c * n), 12), l1, True, True) for c in (0.01, 0.1, 1, 10) for l1 in (0.0, 1.0))
+    assert sorted(map(tuple, got)) == want == _by_sql("m5_grid_search_cv", folder)
+    assert len(_of(searches, "LogisticRegression")) == 8
