@@ -90,3 +90,9 @@ def test_grid_search_has_all_eight_maps(spark, folder, searches):
     want = sorted((round(1 / (c * n), 12), l1, True, True) for c in (0.01, 0.1, 1, 10) for l1 in (0.0, 1.0))
     assert sorted(map(tuple, got)) == want == _by_sql("m5_grid_search_cv", folder)
     assert len(_of(searches, "LogisticRegression")) == 8
+
+
+def test_random_search_draws_thirty_maps(spark, folder, searches):
+    got = E.queries()["m6_random_search_cv"](spark, folder).collect()
+    assert sorted(map(tuple, got)) == [(i, True, True, True, True) for i in range(30)] == _by_sql("m6_random_search_cv", folder)
+    assert len(_of(searches, "RandomForestClassifier")) == 30
